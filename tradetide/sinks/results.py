@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradetide.functions import exact_sum
+from tradetide.functions import exact_sum, to_money
 
 
 class KeyedTable:
@@ -64,7 +64,8 @@ class KeyedTable:
         """Add to keys; unknown keys start from zero and may occur repeatedly."""
         added = deltas.groupBy(*self.keys).agg(exact_sum("value").cast("double").alias("added"))
         before = self.current(before=batch_id)
-        total = (F.coalesce("value", F.lit(0.0)) + F.col("added")).alias("value")
+        old = to_money(F.coalesce("value", F.lit(0.0)))
+        total = (old + to_money("added")).cast("double").alias("value")
         joined = added.join(before, self.keys, "left")
         self.upsert(joined.select(*self.keys, total), batch_id)
 
