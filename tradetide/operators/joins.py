@@ -25,7 +25,8 @@ from tradetide.functions import exact_sum, minute_bucket, trade_platform
 JOIN_KEYS = ["order_id", "order_group"]
 
 
-def _grouped(rows: DataFrame) -> DataFrame:
+def with_order_group(rows: DataFrame) -> DataFrame:
+    """Add the second join key."""
     return rows.withColumn("order_group", F.pmod("order_id", F.lit(1024)))
 
 
@@ -46,7 +47,7 @@ def tagged_union(payments: DataFrame, slim: DataFrame) -> DataFrame:
     return tagged.dropna(subset=["order_id"])
 
 
-def _platform_totals():
+def platform_totals():
     """Aggregates that pick one total per order, numeric so they hash-aggregate.
 
     Copies of an order are alike.  Should two orders share an id, the smallest
@@ -59,8 +60,10 @@ def _platform_totals():
     ]
 
 
-_PLAT = F.when(F.col("tb_total").isNotNull(), S.PLAT_TB).otherwise(S.PLAT_TM)
-_TOTAL = F.coalesce("tb_total", "tm_total")
+def chosen_order():
+    """Platform and total out of ``platform_totals``."""
+    plat = F.when(F.col("tb_total").isNotNull(), S.PLAT_TB).otherwise(S.PLAT_TM)
+    return [plat.alias("plat"), F.coalesce("tb_total", "tm_total").alias("total_price")]
 
 
 def unique_orders(slim: DataFrame) -> DataFrame:
@@ -68,16 +71,16 @@ def unique_orders(slim: DataFrame) -> DataFrame:
     return (
         slim.dropna(subset=["order_id", "total_price"])
         .groupBy("order_id")
-        .agg(*_platform_totals())
-        .select("order_id", _PLAT.alias("plat"), _TOTAL.alias("total_price"))
+        .agg(*platform_totals())
+        .select("order_id", *chosen_order())
     )
 
 
 def match_payments(payments: DataFrame, slim: DataFrame) -> DataFrame:
     """Every payment whose order is known, with platform and payment minute."""
-    orders = _grouped(unique_orders(slim)).select(*JOIN_KEYS, "plat")
+    orders = with_order_group(unique_orders(slim)).select(*JOIN_KEYS, "plat")
     return (
-        _grouped(payments.select("order_id", "pay_amount", "create_time"))
+        with_order_group(payments.select("order_id", "pay_amount", "create_time"))
         .join(orders, JOIN_KEYS)
         .select(
             "order_id", "plat", minute_bucket("create_time").alias("minute"), "pay_amount"
@@ -87,8 +90,8 @@ def match_payments(payments: DataFrame, slim: DataFrame) -> DataFrame:
 
 def pending_payments(payments: DataFrame, slim: DataFrame) -> DataFrame:
     """Payments still waiting for their order."""
-    known = _grouped(slim.select("order_id").distinct())
-    return _grouped(payments).join(known, JOIN_KEYS, "left_anti").select(*payments.columns)
+    known = with_order_group(slim.select("order_id").distinct())
+    return with_order_group(payments).join(known, JOIN_KEYS, "left_anti").select(*payments.columns)
 
 
 def rematch_pending(pending: DataFrame, arrived: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -101,8 +104,8 @@ def rematch_pending(pending: DataFrame, arrived: DataFrame) -> tuple[DataFrame,
 
 def orders_seen(order_ids: DataFrame, slim: DataFrame) -> DataFrame:
     """The given rows whose order has arrived."""
-    known = _grouped(slim.select("order_id").distinct())
-    return _grouped(order_ids).join(known, JOIN_KEYS, "left_semi").select(*order_ids.columns)
+    known = with_order_group(slim.select("order_id").distinct())
+    return with_order_group(order_ids).join(known, JOIN_KEYS, "left_semi").select(*order_ids.columns)
 
 
 def order_balances(payments: DataFrame, slim: DataFrame) -> DataFrame:
@@ -111,12 +114,11 @@ def order_balances(payments: DataFrame, slim: DataFrame) -> DataFrame:
     return (
         tagged_union(paid, slim.select("order_id", "plat", "total_price"))
         .groupBy("order_id")
-        .agg(*_platform_totals(), exact_sum("pay_amount").alias("paid"))
+        .agg(*platform_totals(), exact_sum("pay_amount").alias("paid"))
         .filter("tb_total is not null or tm_total is not null")
         .select(
             "order_id",
-            _PLAT.alias("plat"),
-            _TOTAL.alias("total_price"),
+            *chosen_order(),
             F.coalesce(F.col("paid").cast("double"), F.lit(0.0)).alias("paid"),
         )
     )

@@ -21,10 +21,22 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings every transform here relies on."""
+SHUFFLE_TARGET = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings every transform here relies on.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to expect, for example
+    of the pruned payment columns.  Shuffles then start with enough partitions
+    for it, and adaptive execution merges those that turn out small.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if shuffle_bytes is not None:
+        fixed = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(fixed, -(-shuffle_bytes // SHUFFLE_TARGET))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
     return spark
 
 
@@ -42,6 +54,19 @@ def setting(spark: SparkSession, name: str, value: str):
             spark.conf.set(name, before)
 
 
+@contextmanager
+def stream_settings(spark: SparkSession):
+    """Settings a stateful query takes over when it starts.
+
+    The number of state partitions is fixed by a query's first start and is not
+    adapted later, so it follows the size of the cluster, not the batch default.
+    """
+    partitions = str(spark.sparkContext.defaultParallelism)
+    with setting(spark, STATE_PROVIDER, ROCKSDB):
+        with setting(spark, "spark.sql.shuffle.partitions", partitions):
+            yield
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 

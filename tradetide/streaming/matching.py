@@ -17,21 +17,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tradetide import schemas as S
 from tradetide.functions import exact_sum, minute_bucket
 from tradetide.functions.money import MONEY
 from tradetide.operators.filters import of_type
-from tradetide.operators.joins import JOIN_KEYS, _PLAT, _TOTAL, _grouped, _platform_totals
+from tradetide.operators.joins import (
+    JOIN_KEYS,
+    chosen_order,
+    platform_totals,
+    with_order_group,
+)
 
-PAYMENT_STATE = T.StructType.fromDDL(
+PAYMENT_STATE = (
     "order_id bigint, plat string, minute bigint, pay_amount double, payments bigint,"
     " status string"
 )
-ORDER_STATE = T.StructType.fromDDL(
-    "order_id bigint, plat string, total_price double, paid double"
-)
+ORDER_STATE = "order_id bigint, plat string, total_price double, paid double"
 
 
 class MatchState:
@@ -73,10 +76,10 @@ class MatchState:
         """Take in one batch of tagged messages; returns what it matched."""
         paid = self._sum_payments(messages, batch_id)
         orders = self._known_orders(messages, batch_id)
-        plat = _grouped(orders).select(*JOIN_KEYS, "plat")
+        plat = with_order_group(orders).select(*JOIN_KEYS, "plat")
         status = F.when(F.col("plat").isNull(), "pending").otherwise("matched")
         (
-            _grouped(paid)
+            with_order_group(paid)
             .join(plat, JOIN_KEYS, "left")
             .select("order_id", "plat", "minute", "pay_amount", "payments", status.alias("status"))
             .write.mode("overwrite")
@@ -112,8 +115,8 @@ class MatchState:
         return (
             new.unionByName(self.orders(batch_id - 1))
             .groupBy("order_id")
-            .agg(*_platform_totals(), F.max("paid").alias("paid"))
-            .select("order_id", _PLAT.alias("plat"), _TOTAL.alias("total_price"), "paid")
+            .agg(*platform_totals(), F.max("paid").alias("paid"))
+            .select("order_id", *chosen_order(), "paid")
         )
 
     def _settle(self, orders: DataFrame, matched: DataFrame, batch_id: int) -> None:
@@ -126,3 +129,29 @@ class MatchState:
             distance = F.abs(F.col("total_price") - F.col("paid"))
             state = state.filter(distance > S.SETTLED_TOLERANCE)
         state.write.mode("overwrite").parquet(self._folder("orders", batch_id))
+
+
+def stream_match(
+    messages: DataFrame, path: str, keep_settled: bool = False, **trigger
+) -> StreamingQuery:
+    """Write matched payments, summed per order and minute, batch by batch.
+
+    Each micro-batch owns the folder ``matched/batch_id=N`` below ``path``.
+    """
+    path = path.rstrip("/")
+    state = MatchState(messages.sparkSession, f"{path}/state", keep_settled)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            matched = state.advance(batch, batch_id).drop("status")
+            matched.write.mode("overwrite").parquet(f"{path}/matched/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return (
+        messages.writeStream.foreachBatch(process)
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

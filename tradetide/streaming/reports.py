@@ -40,14 +40,20 @@ class TurnoverJob:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         """One micro-batch; running it again gives the same tables."""
-        matched = self.state.advance(messages, batch_id)
+        messages = messages.persist()
+        try:
+            self._publish(self.state.advance(messages, batch_id), batch_id)
+            self._count(messages, batch_id)
+        finally:
+            messages.unpersist()
+
+    def _publish(self, matched: DataFrame, batch_id: int) -> None:
         per_minute = matched.groupBy("plat", "minute").agg(
             exact_sum("pay_amount").cast("double").alias("value")
         )
         self.minutes.increment(per_minute, batch_id)
         series = self.minutes.current(before=batch_id + 1).withColumnRenamed("value", "trade")
         self.results.upsert_changed(turnover_rows(series, **self.prefixes), batch_id)
-        self._count(messages, batch_id)
 
     def _count(self, messages: DataFrame, batch_id: int) -> None:
         seen = messages.agg(
