@@ -14,7 +14,7 @@ from tradetide import functions as fn
 from tradetide import schemas as S
 from tradetide.operators import aggregates, filters, joins, reconcile, series
 from tradetide.plans import reports
-from tradetide.session import ROCKSDB, STATE_PROVIDER, setting, work_dir
+from tradetide.session import stream_settings, work_dir
 from tradetide.sinks import messages as messages_out
 from tradetide.sinks.results import KeyedTable, result_table
 from tradetide.sources import envelopes, fixtures, generator
@@ -498,15 +498,16 @@ def stream_trade_by_minute(spark: SparkSession, sf: str) -> DataFrame:
     def save(changed: DataFrame, batch_id: int) -> None:
         minutes.upsert(changed.withColumnRenamed("trade", "value"), batch_id)
 
-    (
-        stream_minute_trade(envelopes.decode_payments(source))
-        .writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", f"{work}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    with stream_settings(spark):
+        changed = stream_minute_trade(envelopes.decode_payments(source))
+        (
+            changed.writeStream.outputMode("update")
+            .foreachBatch(save)
+            .option("checkpointLocation", f"{work}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
     return minutes.current().withColumnRenamed("value", "trade")
 
 
@@ -529,7 +530,7 @@ def stream_matched_payments(spark: SparkSession, sf: str) -> DataFrame:
 def stream_matched_payments_keyed(spark: SparkSession, sf: str) -> DataFrame:
     work = work_dir(spark, "match-keyed")
     source = _stream(spark, _published(spark, sf, f"{work}/topics"))
-    with setting(spark, STATE_PROVIDER, ROCKSDB):
+    with stream_settings(spark):
         matched = stream_match_keyed(envelopes.decode_messages(source))
         envelopes.catch_up(matched, f"{work}/matched", f"{work}/checkpoint")
     return _per_order_minute(spark.read.parquet(f"{work}/matched"))

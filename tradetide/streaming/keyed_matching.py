@@ -74,7 +74,7 @@ class _Matcher(StatefulProcessor):
 def stream_match_keyed(messages: DataFrame) -> DataFrame:
     """Tagged messages to matched payments, summed per order and minute.
 
-    Start the query with the RocksDB state store provider set.
+    Start the query under ``session.stream_settings``: it needs the RocksDB provider.
     """
     slim = messages.select(
         "order_id",

@@ -15,6 +15,7 @@ from tradetide.functions import exact_sum
 from tradetide.operators.filters import of_type
 from tradetide.operators.series import mobile_pc_ratio
 from tradetide.plans.reports import ratio_rows, turnover_rows
+from tradetide.session import stream_settings
 from tradetide.sinks.results import KeyedTable, result_table
 from tradetide.streaming.matching import MatchState
 from tradetide.streaming.minute_trade import stream_minute_trade
@@ -107,14 +108,15 @@ class RatioJob:
 
     def start(self, payments: DataFrame, **trigger) -> StreamingQuery:
         """Run on a payment stream; every 30 seconds unless told otherwise."""
-        return (
-            stream_minute_trade(payments)
-            .writeStream.outputMode("update")
-            .foreachBatch(self.process)
-            .option("checkpointLocation", f"{self.path}/ratio_checkpoint")
-            .trigger(**(trigger or {"processingTime": RATIO_INTERVAL}))
-            .start()
-        )
+        with stream_settings(self.spark):
+            return (
+                stream_minute_trade(payments)
+                .writeStream.outputMode("update")
+                .foreachBatch(self.process)
+                .option("checkpointLocation", f"{self.path}/ratio_checkpoint")
+                .trigger(**(trigger or {"processingTime": RATIO_INTERVAL}))
+                .start()
+            )
 
 
 def periodic_report(messages: DataFrame, path: str, **trigger) -> tuple[TurnoverJob, RatioJob]:
