@@ -25,7 +25,7 @@ def test_latest_batch_wins_and_replay_changes_nothing(spark, table):
     table.upsert(kv(spark, a=3.0), 1)
     table.upsert(kv(spark, a=3.0), 1)
     assert rows(table.current()) == [("a", 3.0), ("b", 2.0)]
-    assert rows(table.current(before=1)) == [("a", 1.0), ("b", 2.0)]
+    assert rows(table.current(upto=0)) == [("a", 1.0), ("b", 2.0)]
     assert table.history().count() == 3
 
 
@@ -52,14 +52,38 @@ def test_lookup_delete_and_reset(spark, table):
     assert rows(table.current()) == [("a", 0.0), ("b", 0.0), ("c", 0.0), ("x", 0.0)]
 
 
-def test_compact_keeps_values_and_later_batches_win(spark, table, tmp_path):
+def test_generations_start_from_the_values_before_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = KeyedTable(spark, path, span=2).create()
+    for batch_id in range(5):
+        table.increment(kv(spark, a=1.0, **{f"k{batch_id}": 1.0}), batch_id)
+        if batch_id == 2:
+            table = KeyedTable(spark, path, span=2)  # a restarted job
+        table.increment(kv(spark, a=1.0, **{f"k{batch_id}": 1.0}), batch_id)
+    want = [("a", 5.0)] + [(f"k{i}", 1.0) for i in range(5)]
+    assert rows(table.current()) == want
+    assert rows(KeyedTable(spark, path, span=2).current()) == want
+    assert rows(table.current(upto=1)) == [("a", 2.0), ("k0", 1.0), ("k1", 1.0)]
+    assert table.history().filter("batch_id < 3").count() == 0
+
+
+def test_skipped_batch_numbers_and_deleted_keys(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), span=2).create()
     table.upsert(kv(spark, a=1.0, b=2.0), 0)
     table.delete(keys(spark, "b"), 1)
-    table.upsert(kv(spark, c=4.0), 2)
-    fresh = table.compact(str(tmp_path / "fresh"), 2)
-    assert rows(fresh.current()) == [("a", 1.0), ("c", 4.0)]
-    fresh.upsert(kv(spark, a=9.0), 3)
-    assert rows(fresh.current()) == [("a", 9.0), ("c", 4.0)]
+    table.upsert_changed(kv(spark, a=1.0, c=3.0), 9)
+    assert rows(table.current()) == [("a", 1.0), ("c", 3.0)]
+    assert rows(table.history().filter("batch_id = 9").select("key")) == [("c",)]
+
+
+def test_a_base_without_batches_is_not_trusted(spark, tmp_path):
+    """The job was lost while it wrote the base: the next one writes it again."""
+    table = KeyedTable(spark, str(tmp_path / "t"), span=2).create()
+    table.upsert(kv(spark, a=1.0, b=2.0), 1)
+    kv(spark, a=1.0).write.parquet(table._folder(1, 1))
+    assert rows(table.current()) == [("a", 1.0), ("b", 2.0)]
+    KeyedTable(spark, table.path, span=2).upsert(kv(spark, c=3.0), 2)
+    assert rows(table.current()) == [("a", 1.0), ("b", 2.0), ("c", 3.0)]
 
 
 def test_create_leaves_an_existing_table_alone(spark, table):

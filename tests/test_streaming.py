@@ -111,7 +111,7 @@ def test_both_reports_end_where_the_batch_ends(spark, topics, batch_answer, tmp_
     assert rows(turnover.results.current()) == batch_answer["turnover"]
     assert rows(ratio.results.current()) == batch_answer["ratio"]
     assert turnover.results.history().select("batch_id").distinct().count() >= 3
-    metrics = dict(rows(turnover.stats.current()))
+    metrics = dict(rows(turnover.state_report()))
     assert metrics["open_orders"] == batch_answer["open"]
     assert metrics["pending_payments"] == batch_answer["pending"]
 

@@ -552,7 +552,7 @@ def state_report(spark: SparkSession, sf: str) -> DataFrame:
     source = _stream(spark, _published(spark, sf, f"{work}/topics"))
     job = TurnoverJob(spark, f"{work}/job")
     job.start(envelopes.decode_messages(source), availableNow=True).awaitTermination()
-    return job.stats.current()
+    return job.state_report()
 
 
 # ------------------------------------------------------------------- sinks

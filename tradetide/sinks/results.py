@@ -3,8 +3,11 @@
 Each batch of changes is one ``batch_id=N`` folder.  Writing a batch replaces
 that folder only, so a micro-batch that is replayed after a failure leaves the
 table as it was.  The current value of a key is the one of its latest batch.
-Files of earlier batches are never rewritten; ``compact`` starts a new table
-from the current values when the folders have become many.
+
+Batches are grouped in generations of ``span`` batches.  A generation starts
+from a base, the current values at its beginning, so reading the table never
+takes more than one generation, however long a job has been running.  Older
+generations are not read again and may be removed.
 """
 
 from __future__ import annotations
@@ -17,56 +20,61 @@ from tradetide.functions import exact_sum, to_money
 
 
 class KeyedTable:
-    """Keys to a double.  A null value marks a deleted key."""
+    """Keys to a double.  A null value marks a deleted key.
+
+    One writer at a time, with rising batch numbers.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, keys: str = "key string"):
+    def __init__(self, spark: SparkSession, path: str, keys: str = "key string", span: int = 256):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.fields = T.StructType.fromDDL(keys)
-        self.keys = self.fields.fieldNames()
-        self.schema = T.StructType(
-            [*self.fields, T.StructField("value", T.DoubleType()),
-             T.StructField("batch_id", T.LongType())]
-        )
+        self.span = span
+        fields = T.StructType.fromDDL(keys)
+        self.keys = fields.fieldNames()
+        self.schema = fields.add("value", "double")
+        self._ready = 0
 
     def create(self) -> KeyedTable:
         """Start the table, or leave it alone where it exists."""
-        empty = self.spark.createDataFrame([], T.StructType(self.schema.fields[:-1]))
-        empty.write.mode("ignore").parquet(f"{self.path}/batch_id=-1")
+        empty = self.spark.createDataFrame([], self.schema)
+        empty.write.mode("ignore").parquet(self._folder(0, -1))
         return self
 
-    def history(self) -> DataFrame:
-        """Every change ever written."""
-        return self.spark.read.schema(self.schema).parquet(self.path)
+    # ------------------------------------------------------------- reading
+
+    def history(self, upto: int | None = None) -> DataFrame:
+        """Changes since the latest base, or since the one in use at a batch."""
+        if upto is None:
+            return self._changes(self._newest())
+        return self._changes(upto // self.span).filter(F.col("batch_id") <= upto)
+
+    def current(self, upto: int | None = None) -> DataFrame:
+        """Current value per key; ``upto`` gives the state right after a batch."""
+        return self._latest(self.history(upto))
 
-    def _latest(self, before: int | None) -> DataFrame:
-        rows = self.history()
-        if before is not None:
-            rows = rows.filter(F.col("batch_id") < before)
-        return rows.groupBy(*self.keys).agg(F.max_by("value", "batch_id").alias("value"))
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The given keys with their current value, null where there is none."""
+        return keys.select(*self.keys).join(self.current(), self.keys, "left")
 
-    def current(self, before: int | None = None) -> DataFrame:
-        """Current value per key; ``before`` looks at the state ahead of a batch."""
-        return self._latest(before).filter("value is not null")
+    # ------------------------------------------------------------- writing
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Set keys to absolute values; ``rows`` has each key once."""
-        out = rows.select(*self.keys, F.col("value").cast("double").alias("value"))
-        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        self._start_generation(batch_id)
+        self._write(rows, self._folder(batch_id // self.span, batch_id))
 
     def upsert_changed(self, rows: DataFrame, batch_id: int) -> None:
         """Like ``upsert``, but leaves out keys that already have their value."""
-        before = self.current(before=batch_id).withColumnRenamed("value", "published")
+        before = self._latest(self._before(batch_id)).withColumnRenamed("value", "published")
         same = F.col("value").eqNullSafe(F.col("published"))
         self.upsert(rows.join(before, self.keys, "left").filter(~same), batch_id)
 
     def increment(self, deltas: DataFrame, batch_id: int) -> None:
         """Add to keys; unknown keys start from zero and may occur repeatedly."""
         added = deltas.groupBy(*self.keys).agg(exact_sum("value").cast("double").alias("added"))
-        before = self.current(before=batch_id)
         old = to_money(F.coalesce("value", F.lit(0.0)))
         total = (old + to_money("added")).cast("double").alias("value")
-        joined = added.join(before, self.keys, "left")
+        joined = added.join(self._latest(self._before(batch_id)), self.keys, "left")
         self.upsert(joined.select(*self.keys, total), batch_id)
 
     def delete(self, keys: DataFrame, batch_id: int) -> None:
@@ -75,20 +83,54 @@ class KeyedTable:
         self.upsert(gone.withColumn("value", F.lit(None).cast("double")), batch_id)
 
     def reset(self, batch_id: int) -> None:
-        """Set every key ever published to 0.0; this does not delete it."""
-        known = self.history().filter(F.col("batch_id") < batch_id)
-        keys = known.select(*self.keys).distinct()
+        """Set every known key to 0.0; this does not delete it."""
+        keys = self._before(batch_id).select(*self.keys).distinct()
         self.upsert(keys.withColumn("value", F.lit(0.0)), batch_id)
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
-        """The given keys with their current value, null where there is none."""
-        return keys.select(*self.keys).join(self.current(), self.keys, "left")
+    # ------------------------------------------------------------ internals
+
+    def _folder(self, generation: int, batch_id: int) -> str:
+        return f"{self.path}/generation={generation}/batch_id={batch_id}"
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        out = rows.select(*self.keys, F.col("value").cast("double").alias("value"))
+        out.write.mode("overwrite").parquet(folder)
 
-    def compact(self, path: str, batch_id: int) -> KeyedTable:
-        """A new table with the values as of ``batch_id`` in a single batch."""
-        fresh = KeyedTable(self.spark, path, self.fields.toDDL())
-        fresh.create().upsert(self.current(before=batch_id + 1), batch_id)
-        return fresh
+    def _changes(self, generation: int) -> DataFrame:
+        schema = T.StructType([*self.schema, T.StructField("batch_id", T.LongType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/generation={generation}")
+
+    def _latest(self, changes: DataFrame) -> DataFrame:
+        latest = changes.groupBy(*self.keys).agg(F.max_by("value", "batch_id").alias("value"))
+        return latest.filter("value is not null")
+
+    def _before(self, batch_id: int) -> DataFrame:
+        self._start_generation(batch_id)
+        return self._changes(batch_id // self.span).filter(F.col("batch_id") < batch_id)
+
+    def _newest(self, below: int | None = None) -> int:
+        """Newest generation with a batch of its own.
+
+        One that has only its base may still be being written.
+        """
+        schema = T.StructType(
+            [T.StructField("generation", T.LongType()), T.StructField("batch_id", T.LongType())]
+        )
+        batches = self.spark.read.schema(schema).parquet(self.path)
+        started = batches.filter(F.col("batch_id") >= F.col("generation") * self.span)
+        if below is not None:
+            started = started.filter(F.col("generation") < below)
+        return started.agg(F.max("generation")).first()[0] or 0
+
+    def _start_generation(self, batch_id: int) -> None:
+        """Write the base of the batch's generation unless batches follow it already."""
+        generation = batch_id // self.span
+        if generation <= self._ready:
+            return
+        if self._newest(below=generation + 1) < generation:
+            base = self._latest(self._changes(self._newest(below=generation)))
+            self._write(base, self._folder(generation, generation * self.span - 1))
+        self._ready = generation
 
 
 def result_table(spark: SparkSession, path: str) -> KeyedTable:

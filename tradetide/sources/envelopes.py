@@ -113,7 +113,13 @@ def with_route(envelopes: DataFrame) -> DataFrame:
 
 
 def _parsed(envelopes: DataFrame, schema: T.StructType) -> DataFrame:
-    return envelopes.withColumn("record", F.from_json(F.col("body").cast("string"), schema))
+    """Add the parsed body as ``record``, null where it does not parse.
+
+    As a plain column the parser would be copied into every filter and field
+    access on the record.  As the output of a generator it runs once per body.
+    """
+    record = F.from_json(F.col("body").cast("string"), schema)
+    return envelopes.select("*", F.explode(F.array(record)).alias("record"))
 
 
 def _all_present(fields: Sequence[str]) -> Column:

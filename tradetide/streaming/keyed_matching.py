@@ -33,11 +33,20 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Matcher(StatefulProcessor):
-    """State per order id: the unsettled order, or the payments waiting for it."""
+    """State per order id: the unsettled order, or the payments waiting for it.
+
+    Every access to state is a round trip to the JVM, so one value holds what
+    most keys need: the order, or the first waiting minute.  Further waiting
+    minutes go to a map, which is only touched when there are any.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.order = handle.getValueState("order", "plat string, total_price double, paid double")
-        self.waiting = handle.getMapState("waiting", "minute bigint", "pay_amount double")
+        self.main = handle.getValueState(
+            "main",
+            "plat string, total_price double, paid double,"
+            " minute bigint, pay_amount double, more boolean",
+        )
+        self.further = handle.getMapState("further", "minute bigint", "pay_amount double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         arrived, sums = None, {}
@@ -47,26 +56,42 @@ class _Matcher(StatefulProcessor):
                 arrived = offer if arrived is None else min(arrived, offer)
             else:
                 sums[row.minute] = sums.get(row.minute, 0.0) + row.pay_amount
-        known = self.order.get() if self.order.exists() else None
-        if known is None and arrived is None:
-            for minute, amount in sums.items():
-                held = self.waiting.getValue((minute,))
-                self.waiting.updateValue((minute,), (amount + (held[0] if held else 0.0),))
+        held = self.main.get()
+        if arrived is None and (held is None or held[0] is None):
+            self._wait(held, sums)
             return
-        if known is None:
-            for minute, amount in self.waiting.iterator():
-                sums[minute[0]] = sums.get(minute[0], 0.0) + amount[0]
-            self.waiting.clear()
-            known = (*arrived, 0.0)
-        plat, total, paid = known
+        if held is not None and held[0] is None:
+            self._take_waiting(held, sums)
+            held = None
+        plat, total, paid = (*arrived, 0.0) if held is None else held[:3]
         paid += sum(sums.values())
-        if abs(total - paid) <= S.SETTLED_TOLERANCE:
-            self.order.clear()
+        if abs(total - paid) > S.SETTLED_TOLERANCE:
+            self.main.update((plat, total, paid, None, None, False))
         else:
-            self.order.update((plat, total, paid))
+            self.main.clear()
         for minute, amount in sums.items():
             yield Row(order_id=key[0], plat=plat, minute=minute, pay_amount=amount)
 
+    def _wait(self, held, sums: dict[int, float]) -> None:
+        if held is None:
+            first, more = min(sums), False
+            amount = sums.pop(first)
+        else:
+            first, amount, more = held[3:]
+            amount += sums.pop(first, 0.0)
+        for minute, added in sums.items():
+            known = self.further.getValue((minute,)) if more else None
+            self.further.updateValue((minute,), (added + (known[0] if known else 0.0),))
+        self.main.update((None, None, None, first, amount, more or bool(sums)))
+
+    def _take_waiting(self, held, sums: dict[int, float]) -> None:
+        waiting = [held[3:5]]
+        if held[5]:
+            waiting += [(minute[0], amount[0]) for minute, amount in self.further.iterator()]
+            self.further.clear()
+        for minute, amount in waiting:
+            sums[minute] = sums.get(minute, 0.0) + amount
+
     def close(self) -> None:
         pass
 

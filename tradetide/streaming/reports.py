@@ -37,7 +37,8 @@ class TurnoverJob:
             spark, f"{self.path}/turnover_minutes", "plat string, minute bigint"
         ).create()
         self.results = result_table(spark, f"{self.path}/turnover")
-        self.stats = KeyedTable(spark, f"{self.path}/state", "metric string").create()
+        self.seen = KeyedTable(spark, f"{self.path}/seen", "metric string").create()
+        self.held = KeyedTable(spark, f"{self.path}/held", "metric string").create()
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         """One micro-batch; running it again gives the same tables."""
@@ -53,7 +54,7 @@ class TurnoverJob:
             exact_sum("pay_amount").cast("double").alias("value")
         )
         self.minutes.increment(per_minute, batch_id)
-        series = self.minutes.current(before=batch_id + 1).withColumnRenamed("value", "trade")
+        series = self.minutes.current(upto=batch_id).withColumnRenamed("value", "trade")
         self.results.upsert_changed(turnover_rows(series, **self.prefixes), batch_id)
 
     def _count(self, messages: DataFrame, batch_id: int) -> None:
@@ -66,12 +67,12 @@ class TurnoverJob:
             F.countDistinct("order_id").alias("pending_orders"),
             F.coalesce(F.sum("payments"), F.lit(0)).alias("pending_payments"),
         )
-        before = self.stats.current(before=batch_id).withColumnRenamed("value", "before")
-        added = _as_metrics(seen).join(before, "metric", "left").select(
-            "metric", (F.col("value") + F.coalesce("before", F.lit(0.0))).alias("value")
-        )
-        sizes = _as_metrics(held).unionByName(_as_metrics(waiting))
-        self.stats.upsert(added.unionByName(sizes), batch_id)
+        self.seen.increment(_as_metrics(seen), batch_id)
+        self.held.upsert(_as_metrics(held).unionByName(_as_metrics(waiting)), batch_id)
+
+    def state_report(self) -> DataFrame:
+        """Orders and payments seen so far, and what the state holds of them."""
+        return self.seen.current().unionByName(self.held.current())
 
     def start(self, messages: DataFrame, **trigger) -> StreamingQuery:
         """Run on a stream of tagged messages; every 25 seconds unless told otherwise."""
@@ -103,7 +104,7 @@ class RatioJob:
     def process(self, changed: DataFrame, batch_id: int) -> None:
         """One micro-batch of changed minute totals."""
         self.minutes.upsert(changed.withColumnRenamed("trade", "value"), batch_id)
-        series = self.minutes.current(before=batch_id + 1).withColumnRenamed("value", "trade")
+        series = self.minutes.current(upto=batch_id).withColumnRenamed("value", "trade")
         self.results.upsert_changed(ratio_rows(mobile_pc_ratio(series), self.prefix), batch_id)
 
     def start(self, payments: DataFrame, **trigger) -> StreamingQuery:
