@@ -201,3 +201,70 @@ def test_hot_order_is_split_by_adaptive_execution(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_bucketed_tables_match_without_a_shuffle(spark, tmp_path):
+    p = spark.range(5000).selectExpr(
+        "id div 2 as order_id", "1.5D as pay_amount", "id * 1000 as create_time")
+    o = spark.range(2000).selectExpr("id as order_id", "'tm' as plat", "3.0D as total_price")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame, name in ((p, "bucketed_payments"), (o, "bucketed_orders")):
+            (frame.write.mode("overwrite").option("path", str(tmp_path / name))
+             .bucketBy(4, "order_id").sortBy("order_id").saveAsTable(name))
+        matched = joins.match_payments(
+            spark.table("bucketed_payments"), spark.table("bucketed_orders"), colocated=True)
+        assert "Exchange" not in plan(matched)
+        assert rows(matched) == rows(joins.match_payments(p, o))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("drop table if exists bucketed_payments")
+        spark.sql("drop table if exists bucketed_orders")
+
+
+def test_hot_minute_is_spread_over_many_windows(spark):
+    """All payments fall into one minute: no window may hold a whole minute."""
+    p = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id as order_id", "1.0D as pay_amount", "cast(0 as smallint) as pay_source",
+        "cast(id % 2 as smallint) as pay_platform", "id as create_time")
+    running = aggregates.running_minute_trade(p)
+    windows = [line for line in plan(running).splitlines() if "running_trade" in line and "Window" in line]
+    spec = windows[0].split("windowspecdefinition(")[1].split(" ASC")[0]
+    assert len(spec.split(",")) >= 5  # terminal, minute, millisecond, order range, then the order
+    top = running.agg(F.max("running_trade"), F.countDistinct("running_trade")).first()
+    assert tuple(top) == (30_000.0, 30_000)
+
+
+def test_random_series_against_brute_force(spark):
+    """Random gaps over several days: the tiers must not show in the result."""
+    import random
+
+    rng = random.Random(3)
+    items = {}
+    for _ in range(400):
+        items[(rng.randrange(2), rng.randrange(5 * 1440) * 60)] = rng.randrange(1, 10_000) / 100
+    s = series_of(spark, *[(t, m, v) for (t, m), v in items.items()])
+    want, first = {}, {}
+    for terminal in (0, 1):
+        minutes = sorted(m for t, m in items if t == terminal)
+        first[terminal] = round(items[(terminal, minutes[0])] * 100)
+        cents = 0
+        for minute in range(minutes[0], minutes[-1] + 60, 60):
+            cents += round(items.get((terminal, minute), 0) * 100)
+            want[(terminal, minute)] = cents
+    got = rows(series.cumulative_trade(s, "pay_platform"))
+    assert got == sorted((t, m, c / 100) for (t, m), c in want.items())
+    both = [m for t, m in want if t == 0 and (1, m) in want]
+    assert rows(series.mobile_pc_ratio(s)) == [
+        (m, (want[(1, m)] / 100) / (want[(0, m)] / 100)) for m in sorted(both)]
+    assert rows(series.mobile_pc_ratio_compat(s)) == [
+        (m, ((want[(1, m)] + first[1]) / 100) / ((want[(0, m)] + first[0]) / 100))
+        for m in sorted(both)]
+
+
+def test_gap_of_years_is_filled(spark):
+    s = series_of(spark, (0, 0, 1), (0, 86400 * 3650, 2))
+    dense = series.cumulative_trade(s, "pay_platform")
+    assert dense.agg(F.count("*"), F.countDistinct("minute"), F.min("cum_trade"), F.max("cum_trade")).first() == (
+        1440 * 3650 + 1, 1440 * 3650 + 1, 1.0, 3.0)

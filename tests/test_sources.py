@@ -24,6 +24,7 @@ def test_markers_broken_bodies_and_unknown_topics(spark):
         spark,
         ("pay", PAY), ("pay", b"\x00\x00"), ("pay", b"\x00"), ("pay", b"{}"), ("pay", b"junk"),
         ("tb_order", ORDER), ("tb_order", b"\x00\x00"), ("tm_order", PAY), ("refund", ORDER),
+        ("pay", PAY.replace(b"2.5", b"NaN")), ("tm_order", ORDER.replace(b"2.5", b"Infinity")),
     )
     assert rows(envelopes.decode_payments(w)) == [(1, 2.5, 0, 1, 60000)]
     assert rows(envelopes.decode_orders(w).select("order_id", "buyer_id", "topic")) == [
@@ -31,9 +32,9 @@ def test_markers_broken_bodies_and_unknown_topics(spark):
     assert rows(envelopes.decode_messages(w).select("type", "order_id", "plat")) == [
         ("order", 1, "tb"), ("pay", 1, None)]
     assert rows(envelopes.quarantine(w).groupBy("topic", "reason").count()) == [
-        ("pay", "body", 3), ("refund", "topic", 1), ("tm_order", "body", 1)]
+        ("pay", "body", 4), ("refund", "topic", 1), ("tm_order", "body", 2)]
     assert rows(envelopes.topic_progress(w)) == [
-        ("pay", 4, True), ("refund", 1, False), ("tb_order", 1, True), ("tm_order", 1, False)]
+        ("pay", 5, True), ("refund", 1, False), ("tb_order", 1, True), ("tm_order", 2, False)]
 
 
 def test_nothing_is_lost_between_decoding_and_quarantine(spark, sf):

@@ -76,12 +76,19 @@ def unique_orders(slim: DataFrame) -> DataFrame:
     )
 
 
-def match_payments(payments: DataFrame, slim: DataFrame) -> DataFrame:
-    """Every payment whose order is known, with platform and payment minute."""
-    orders = with_order_group(unique_orders(slim)).select(*JOIN_KEYS, "plat")
+def match_payments(
+    payments: DataFrame, slim: DataFrame, colocated: bool = False
+) -> DataFrame:
+    """Every payment whose order is known, with platform and payment minute.
+
+    ``colocated`` is for tables bucketed alike by order id: neither side is then
+    shuffled, at the price of not splitting an order that fills its bucket.
+    """
+    keys = ["order_id"] if colocated else JOIN_KEYS
+    orders = with_order_group(unique_orders(slim)).select(*keys, "plat")
     return (
         with_order_group(payments.select("order_id", "pay_amount", "create_time"))
-        .join(orders, JOIN_KEYS)
+        .join(orders, keys)
         .select(
             "order_id", "plat", minute_bucket("create_time").alias("minute"), "pay_amount"
         )

@@ -68,10 +68,20 @@ def _linked(series: DataFrame, group: list[str]) -> DataFrame:
 
 
 def _filled(linked: DataFrame) -> DataFrame:
-    """Repeat each row for the empty minutes up to the next one."""
+    """Repeat each row, as ``at``, for the empty minutes up to the next one.
+
+    Goes by day and then by minute, so that a gap of years takes no array of
+    all its minutes.
+    """
+    day_of = F.col("minute") - F.pmod("minute", F.lit(S.DAY))
     last = F.coalesce(F.col("next_minute") - S.MINUTE, F.col("minute"))
-    return linked.withColumn(
-        "at", F.explode(F.sequence("minute", last, F.lit(S.MINUTE).cast("bigint")))
+    start = F.greatest("minute", "gap_day")
+    stop = F.least("last", F.col("gap_day") + (S.DAY - S.MINUTE))
+    days = linked.withColumn("last", last).withColumn(
+        "gap_day", F.explode(F.sequence(day_of, last, F.lit(S.DAY).cast("bigint")))
+    )
+    return days.withColumn(
+        "at", F.explode(F.sequence(start, stop, F.lit(S.MINUTE).cast("bigint")))
     )
 
 

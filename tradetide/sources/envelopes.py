@@ -122,18 +122,26 @@ def _parsed(envelopes: DataFrame, schema: T.StructType) -> DataFrame:
     return envelopes.select("*", F.explode(F.array(record)).alias("record"))
 
 
-def _all_present(fields: Sequence[str]) -> Column:
-    present = F.col("record").isNotNull()
+def _usable(*fields: str, amount: str) -> Column:
+    """The record has these fields, and an amount that is a finite number."""
+    usable = F.col("record").isNotNull()
     for name in fields:
-        present = present & F.col(f"record.{name}").isNotNull()
-    return present
+        usable = usable & F.col(f"record.{name}").isNotNull()
+    return usable & (F.abs(f"record.{amount}") < float("inf"))
+
+
+def _usable_payment() -> Column:
+    return _usable("order_id", "create_time", amount="pay_amount")
+
+
+def _usable_order() -> Column:
+    return _usable("order_id", amount="total_price")
 
 
 def decode_payments(envelopes: DataFrame) -> DataFrame:
     """Valid records of the payment topic."""
     mine = drop_end_markers(envelopes).filter(F.col("topic") == S.TOPIC_PAYMENT)
-    valid = _all_present(["order_id", "pay_amount", "create_time"])
-    return _parsed(mine, S.PAYMENT).filter(valid).select("record.*")
+    return _parsed(mine, S.PAYMENT).filter(_usable_payment()).select("record.*")
 
 
 def decode_orders(envelopes: DataFrame) -> DataFrame:
@@ -141,13 +149,12 @@ def decode_orders(envelopes: DataFrame) -> DataFrame:
     mine = drop_end_markers(envelopes).filter(
         F.col("topic").isin(S.TOPIC_TB_ORDER, S.TOPIC_TM_ORDER)
     )
-    valid = _all_present(["order_id", "total_price"])
-    return _parsed(mine, S.ORDER).filter(valid).select("record.*", "topic")
+    return _parsed(mine, S.ORDER).filter(_usable_order()).select("record.*", "topic")
 
 
 def _message_valid() -> Column:
-    pay = (F.col("route") == "pay") & _all_present(["order_id", "pay_amount", "create_time"])
-    order = (F.col("route") == "order") & _all_present(["order_id", "total_price"])
+    pay = (F.col("route") == "pay") & _usable_payment()
+    order = (F.col("route") == "order") & _usable_order()
     return pay | order
 
 

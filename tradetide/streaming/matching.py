@@ -74,8 +74,16 @@ class MatchState:
 
     def advance(self, messages: DataFrame, batch_id: int) -> DataFrame:
         """Take in one batch of tagged messages; returns what it matched."""
-        paid = self._sum_payments(messages, batch_id)
-        orders = self._known_orders(messages, batch_id)
+        orders = self._known_orders(messages, batch_id).persist()
+        try:
+            self._join(self._sum_payments(messages, batch_id), orders, batch_id)
+            matched = self.matched(batch_id)
+            self._settle(orders, matched, batch_id)
+        finally:
+            orders.unpersist()
+        return matched
+
+    def _join(self, paid: DataFrame, orders: DataFrame, batch_id: int) -> None:
         plat = with_order_group(orders).select(*JOIN_KEYS, "plat")
         status = F.when(F.col("plat").isNull(), "pending").otherwise("matched")
         (
@@ -86,9 +94,6 @@ class MatchState:
             .partitionBy("status")
             .parquet(self._folder("payments", batch_id))
         )
-        matched = self.matched(batch_id)
-        self._settle(orders, matched, batch_id)
-        return matched
 
     def _sum_payments(self, messages: DataFrame, batch_id: int) -> DataFrame:
         new = of_type(messages, "pay").select(
