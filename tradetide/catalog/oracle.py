@@ -96,12 +96,12 @@ def _dense(source: str, prefix: str = "") -> str:
 
 DENSE = _dense("terminal")
 
-LATE = """late_terminal as (
+SEEN = """seen_terminal as (
   select pay_platform, minute, cast(sum(cast(pay_amount as decimal(18,2))) as double) as trade
   from payments
-  where pay_platform in (0, 1) and order_id % 50 <> 7 and create_time >= 1704110400000
+  where pay_platform in (0, 1) and order_id in (select order_id from slim)
   group by pay_platform, minute),
-""" + _dense("late_terminal", "late_")
+""" + _dense("seen_terminal", "seen_")
 
 
 def _draw(index: str, below: str, stream: int) -> str:
@@ -241,7 +241,7 @@ ORACLE = {
         """select p.order_id, p.pay_amount,
     case when s.order_id is null then 'pending' else 'matched' end as status
   from payments p left join slim s on p.order_id = s.order_id
-  where s.order_id is null or s.order_id % 3 <> 0""", *_S),
+  where s.order_id is null or s.plat = 'tm'""", *_S),
     "ratio_join": _with(
         """select m.minute, m.cum_trade as mobile_trade, p.cum_trade as pc_trade
   from cumulative m join cumulative p on m.minute = p.minute
@@ -250,7 +250,7 @@ ORACLE = {
     "reconcile_ratio": _with(
         """select count(*) as keys, count(l.ratio) as present,
     count(*) - count(l.ratio) as missing, max(abs(l.ratio - r.ratio)) as max_error
-  from ratios r left join late_ratios l on r.minute = l.minute""", *_D, LATE),
+  from ratios r left join seen_ratios l on r.minute = l.minute""", *_S, TERMINAL, DENSE, SEEN),
     # aggregations
     "minute_trade_by_platform": _with("select * from platform", *_A),
     "minute_trade_by_terminal": _with("select * from terminal", *_T),

@@ -326,9 +326,9 @@ def orders_seen(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rematch_pending(spark: SparkSession, sf: str) -> DataFrame:
-    """A third of the orders came in time, the others repair what is pending."""
+    """The tb orders came in time, the tm orders repair what is pending."""
     payments, orders = _payments(spark, sf), _orders(spark, sf)
-    early, late = orders.filter("order_id % 3 = 0"), orders.filter("order_id % 3 <> 0")
+    early, late = orders.filter("plat = 'tb'"), orders.filter("plat = 'tm'")
     pending = joins.pending_payments(payments, early)
     matched, still = joins.rematch_pending(pending, late)
     columns = ["order_id", "pay_amount", "status"]
@@ -361,12 +361,11 @@ def reconcile_turnover(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def reconcile_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    """Published by a job that missed the orphan payments and the first half day."""
+    """Published by a job that counted matched payments only."""
     payments = _payments(spark, sf)
     expected = reports.ratios(payments).withColumnRenamed("value", "expected")
-    matched = payments.filter("order_id % 50 <> 7")
-    late = reports.ratios(matched.filter("create_time >= 1704110400000"))
-    return reconcile.reconcile_ratio(expected, late)
+    matched = joins.orders_seen(payments, _orders(spark, sf))
+    return reconcile.reconcile_ratio(expected, reports.ratios(matched))
 
 
 # ------------------------------------------------------------ aggregations

@@ -138,6 +138,12 @@ def periodic_report(messages: DataFrame, path: str, **trigger) -> tuple[Turnover
     return turnover, ratio
 
 
+def state_rows(query: StreamingQuery) -> int:
+    """Rows a running query holds in its state stores."""
+    progress = query.lastProgress
+    return sum(op.numRowsTotal for op in progress.stateOperators) if progress else 0
+
+
 def _as_metrics(row: DataFrame) -> DataFrame:
     """One row of counts as (metric, value) rows."""
     pairs = [
