@@ -189,3 +189,52 @@ def test_late_payment_changes_every_later_ratio(spark, tmp_path):
 def test_message_filter_serves_streams(spark, topics, tmp_path):
     only = of_type(stream(spark, topics), "pay")
     assert only.isStreaming
+
+
+def test_combining_keeps_sums_and_collapses_copies():
+    import pyarrow as pa
+
+    from tradetide.streaming.keyed_matching import _combine
+
+    n = 9000  # all payments of one order, and its copies
+    batch_ = pa.RecordBatch.from_pydict({
+        "order_id": pa.array([1] * (n + 3), pa.int64()),
+        "plat": pa.array([None] * n + ["tb"] * 3, pa.string()),
+        "total_price": pa.array([None] * n + [5.0] * 3, pa.float64()),
+        "minute": pa.array([i % 3 * 60 for i in range(n)] + [None] * 3, pa.int64()),
+        "pay_amount": pa.array([0.5] * n + [None] * 3, pa.float64()),
+    })
+    out = pa.Table.from_batches(list(_combine(iter([batch_])))).to_pylist()
+    assert sorted((r["minute"], r["pay_amount"]) for r in out if r["plat"] is None) == [
+        (0, 1500.0), (60, 1500.0), (120, 1500.0)]
+    assert [r["total_price"] for r in out if r["plat"] == "tb"] == [5.0]
+
+
+def test_keyed_state_over_restarts(spark, tmp_path):
+    """Each part is taken in by a query of its own, started from the checkpoint."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    parts = [
+        # waiting in one minute, in three minutes, and an order ahead of its payments
+        batch(spark, [(1, 3, 0, 0), (2, 1, 0, 0), (2, 2, 1, 60_000), (2, 4, 0, 120_000)],
+              [(3, "tb", 9)]),
+        batch(spark, [(1, 2, 0, 0), (2, 3, 0, 60_000), (3, 4, 0, 0)], []),
+        batch(spark, [(3, 5, 0, 0)], [(1, "tm", 10), (2, "tb", 10), (4, "tb", 0)]),
+        # after settlement: waits for good; still open: matched at once
+        batch(spark, [(2, 7, 0, 0), (4, 1, 0, 0), (1, 5, 1, 60_000)], []),
+    ]
+    columns = ["type", "order_id", "plat", "total_price", "create_time", "pay_amount"]
+    seen, expected = 0, [
+        [],
+        [(3, "tb", 0, 4.0)],
+        [(1, "tm", 0, 5.0), (2, "tb", 0, 1.0), (2, "tb", 60, 5.0), (2, "tb", 120, 4.0),
+         (3, "tb", 0, 5.0)],
+        [(1, "tm", 60, 5.0)],
+    ]
+    want = []
+    for part, added in zip(parts, expected):
+        part.select(columns).coalesce(1).write.mode("append").parquet(source)
+        read = spark.readStream.schema(part.select(columns).schema).parquet(source)
+        with stream_settings(spark):
+            envelopes.catch_up(stream_match_keyed(read), out, str(tmp_path / "k"))
+        want += added
+        assert sums(spark.read.parquet(out)) == sorted(want)
