@@ -62,7 +62,10 @@ class TurnoverJob:
             F.count_if(F.col("type") == "order").alias("orders_seen"),
             F.count_if(F.col("type") == "pay").alias("payments_seen"),
         )
-        held = self.state.orders(batch_id).agg(F.count("*").alias("open_orders"))
+        distance = F.abs(F.col("total_price") - F.col("paid"))
+        held = self.state.orders(batch_id).agg(
+            F.count_if(distance > S.SETTLED_TOLERANCE).alias("open_orders")
+        )
         waiting = self.state.pending(batch_id).agg(
             F.countDistinct("order_id").alias("pending_orders"),
             F.coalesce(F.sum("payments"), F.lit(0)).alias("pending_payments"),
