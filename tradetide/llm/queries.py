@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradetide.llm import bpe
+from tradetide.llm import bpe, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_definition())
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_simhash": op6_simhash,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
