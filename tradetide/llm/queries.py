@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradetide.llm import bpe, quality, simhash
+from tradetide.llm import bpe, quality, secret_scan, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.findings(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": op2_secrets,
     "op6_simhash": op6_simhash,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
