@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradetide.llm import bpe, quality, secret_scan, simhash
+from tradetide.llm import bpe, mixing, quality, secret_scan, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,14 +35,26 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placed(table(spark, sf_dir, "documents"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
     "op6_simhash": op6_simhash,
+    "op7_sharding": op7_sharding,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_sharding": sharding.placed_sql(),
+}
