@@ -119,9 +119,9 @@ def mixed(rows: DataFrame, key: str = "doc_id", weights: DataFrame | None = None
     blocks, and ``position`` in rows, gapless from 0.
     """
     alike = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")).withColumn(
-        "digest", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    leading = (F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") * BUCKETS / 65536).cast("int")
-    order = ["digest", *[F.col(c).asc_nulls_first() for c in rows.columns]]
+        "key_digest", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    leading = (F.conv(F.substring("key_digest", 1, 4), 16, 10).cast("int") * BUCKETS / 65536).cast("int")
+    order = ["key_digest", *[F.col(c).asc_nulls_first() for c in rows.columns]]
     started = numbered(alike, ["source"], leading, order, "copies", "first_row", "mixing-rows")
     numbers = expanded(started, "copies", "first_row", "row").withColumn(
         "block", F.floor(F.col("row") / block_rows))
@@ -149,10 +149,29 @@ def mixed(rows: DataFrame, key: str = "doc_id", weights: DataFrame | None = None
     range_of = F.size(F.filter(
         F.array(*[F.lit(e) for e in sorted(set(edges or []))]).cast("array<bigint>"), lambda e: e <= F.col("slot")))
     placed = numbered(due, ["_all"], range_of, ["slot", "row"], "one", "position", "mixing-slots")
-    return placed.drop("one", "_all", "row", "digest")
+    return placed.drop("one", "_all", "row", "key_digest")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """doc_id, source, block, release, deadline, slot and position of every document."""
     rows = docs.select("doc_id", "source", F.octet_length(F.coalesce("text", F.lit(""))).alias("bytes"))
     return mixed(rows).select("doc_id", "source", "block", "release", "deadline", "slot", "position")
+
+
+def in_mixed_order(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """All of ``docs``, their columns unchanged, in the order of the mix: by range of
+    positions over the partitions and sorted within them, so that files written from the
+    result follow the mix.  Rows with equal key, source and text go to the first position
+    of their kind.
+    """
+    digest = F.xxhash64("text")
+    rows = docs.select(F.col(key).alias("key"), "source", digest.alias("digest"))
+    positions = stored(
+        mixed(rows, "key").groupBy("key", "source", "digest").agg(F.min("position").alias("position")),
+        "mixing-positions")
+    joined = docs.withColumn("_digest", digest).join(
+        positions.select(F.col("key").alias("_key"), F.col("source").alias("_source"),
+                         F.col("digest").alias("_of"), F.col("position").alias("_position")),
+        F.col(key).eqNullSafe(F.col("_key")) & F.col("source").eqNullSafe(F.col("_source"))
+        & (F.col("_digest") == F.col("_of")))
+    return joined.repartitionByRange("_position").sortWithinPartitions("_position").select(*docs.columns)

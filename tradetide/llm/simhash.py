@@ -141,3 +141,29 @@ def classes(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     marked = stored(with_fingerprint(docs.select("doc_id", "text"), keep_text=False), "simhash-marked")
     return with_component(marked, "doc_id", radius).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """One document of each group, with its own columns: the smallest key's (null keys come
+    last), and of several rows with that key the one with the smallest text digest.
+
+    Decisions are made on ids, digests and fingerprints; the texts move once, for the
+    join with them.
+    """
+    lean = docs.select(F.col(key).alias("key"), F.xxhash64("text").alias("digest"), "text")
+    marked = stored(with_fingerprint(lean, keep_text=False), "simhash-marked")
+    row = F.struct(F.col("key").isNull().alias("none"), "key", "digest")
+    best = with_component(marked, "key", radius).withColumn("group", F.col("component_id"))
+    # A group all of whose keys are null has no name; its fingerprint stands in.
+    winners = best.groupBy("group", F.when(F.col("group").isNull(), F.col("fp")).alias("of")).agg(
+        F.min(row).alias("w"), F.count("*").alias("size")).select("w.key", "w.digest")
+    copies = marked.groupBy("key", "digest").agg(F.count("*").alias("copies"))
+    winners = stored(
+        winners.alias("w").join(copies.alias("c"), F.col("w.key").eqNullSafe(F.col("c.key"))
+                                & (F.col("w.digest") == F.col("c.digest"))).select("w.*", "copies"),
+        "simhash-winners")
+    kept = docs.withColumn("_digest", F.xxhash64("text")).join(
+        winners, F.col(key).eqNullSafe(winners["key"]) & (F.col("_digest") == winners["digest"]))
+    once = kept.where("copies = 1")
+    again = kept.where("copies > 1").dropDuplicates([*({key} & set(docs.columns)), "_digest"])
+    return once.unionByName(again).select(*[docs[c] if c in docs.columns else c for c in docs.columns])
