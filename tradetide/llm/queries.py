@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradetide.llm import bpe, mixing, quality, secret_scan, sharding, simhash
+from tradetide.llm import bpe, mixing, quality, repeats, secret_scan, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
+    "op5_repeats": op5_repeats,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
     "op9_bpe": op9_bpe,
