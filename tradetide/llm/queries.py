@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradetide.llm import bpe, mixing, quality, repeats, secret_scan, sharding, simhash
+from tradetide.llm import bpe, main_text, mixing, quality, repeats, secret_scan, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = main_text.extract(table(spark, sf_dir, "pages"), main_text.fit(spark))
+    return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
+    "op3_html": op3_html,
     "op5_repeats": op5_repeats,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
