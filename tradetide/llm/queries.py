@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradetide.llm import bpe, main_text, mixing, quality, repeats, secret_scan, sharding, simhash
+from tradetide.llm import bpe, chat, main_text, mixing, quality, repeats, secret_scan, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def tokenizer_definition(path: str | None = None) -> str:
     return bpe.read_definition(path)
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"), tokenizer_definition()).drop("n_tokens")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_definition())
 
@@ -64,9 +68,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeats": op5_repeats,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
+    "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {
     "op7_sharding": sharding.placed_sql(),
+    "op8_chat": chat.report_sql(),
 }
