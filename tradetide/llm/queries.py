@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradetide.llm import bpe, chat, main_text, mixing, quality, repeats, secret_scan, sharding, simhash
+from tradetide.llm import bpe, chat, embeddings, main_text, mixing, quality, repeats, secret_scan, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.classes(table(spark, sf_dir, "embeddings"))
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
     "op3_html": op3_html,
+    "op4_embeddings": op4_embeddings,
     "op5_repeats": op5_repeats,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
