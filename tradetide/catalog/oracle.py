@@ -25,10 +25,10 @@ ORDER_MESSAGES = """order_messages as (
   from payments where order_id % 50 <> 7 group by order_id
   union all
   select 1000000000 + o_orderkey, concat('buyer', o_custkey), 'product0',
-    case when o_orderkey % 200 = 0 then 'tb_saler0' else 'tm_saler0' end,
+    case when o_orderkey % 2 = 0 then 'tb_saler0' else 'tm_saler0' end,
     cast(1704067200000 as bigint), o_totalprice,
-    case when o_orderkey % 200 = 0 then 'tb_order' else 'tm_order' end
-  from orders where o_orderkey % 100 = 0)"""
+    case when o_orderkey % 2 = 0 then 'tb_order' else 'tm_order' end
+  from orders)"""
 
 SLIM = """slim as (
   select order_id, case when topic = 'tb_order' then 'tb' else 'tm' end as plat, total_price
@@ -70,16 +70,19 @@ BALANCES = """balances as (
 
 
 def _dense(source: str, prefix: str = "") -> str:
-    """Grid, filled series and running total of a (pay_platform, minute, trade) table."""
+    """Grid, filled series and running total of a (pay_platform, minute, trade) table.
+
+    The grid is added to the series with 0.0 and both are summed, and both terminals
+    are picked out of one series: no table is joined with itself.
+    """
     return f"""{prefix}bounds as (
   select pay_platform, min(minute) as lo, max(minute) as hi from {source} group by pay_platform),
-{prefix}grid as (
-  select pay_platform, unnest(range(lo, hi + 60, 60)) as minute from {prefix}bounds),
-{prefix}dense as (
-  select g.pay_platform, g.minute, coalesce(t.trade, 0.0) as trade
-  from {prefix}grid g left join {source} t
-    on g.pay_platform = t.pay_platform and g.minute = t.minute),
-{prefix}cumulative as (
+{prefix}dense as materialized (
+  select pay_platform, minute, sum(trade) as trade from (
+    select pay_platform, unnest(range(lo, hi + 60, 60)) as minute, 0.0::double as trade from {prefix}bounds
+    union all select pay_platform, minute, trade from {source})
+  group by pay_platform, minute),
+{prefix}cumulative as materialized (
   select pay_platform, minute, trade,
     cast(sum(cast(trade as decimal(18,2)))
       over (partition by pay_platform order by minute) as double) as cum_trade,
@@ -87,11 +90,16 @@ def _dense(source: str, prefix: str = "") -> str:
       + first_value(cast(trade as decimal(18,2)))
         over (partition by pay_platform order by minute) as double) as cum_compat
   from {prefix}dense),
+{prefix}both_terminals as materialized (
+  select minute, max(cum_trade) filter (pay_platform = 1) as mobile_trade,
+    max(cum_trade) filter (pay_platform = 0) as pc_trade,
+    max(cum_compat) filter (pay_platform = 1) as mobile_compat,
+    max(cum_compat) filter (pay_platform = 0) as pc_compat
+  from {prefix}cumulative group by minute having count(distinct pay_platform) = 2),
 {prefix}ratios as (
-  select m.minute, case when p.cum_trade <> 0 then m.cum_trade / p.cum_trade end as ratio,
-    case when p.cum_compat <> 0 then m.cum_compat / p.cum_compat end as ratio_compat
-  from {prefix}cumulative m join {prefix}cumulative p on m.minute = p.minute
-  where m.pay_platform = 1 and p.pay_platform = 0 and p.cum_trade <> 0)"""
+  select minute, mobile_trade / pc_trade as ratio,
+    case when pc_compat <> 0 then mobile_compat / pc_compat end as ratio_compat
+  from {prefix}both_terminals where pc_trade <> 0)"""
 
 
 DENSE = _dense("terminal")
@@ -105,17 +113,19 @@ SEEN = """seen_terminal as (
 
 
 def _draw(index: str, below: str, stream: int) -> str:
-    linear = f"(({index}) % 2147483647 * 1327217885 + {stream * 1000003}) % 2147483647"
+    shifted = f"(({index}) + ({index}) // 2147483647 * 16807)"
+    linear = f"({shifted} % 2147483647 * 1327217885 + {stream * 1000003}) % 2147483647"
     return f"((({linear}) * ({linear}) + ({linear})) % 2147483647 * ({below}) // 2147483647)"
 
 
-GENERATED = f"""generated as (
+def _generated(step_ms: int) -> str:
+    return f"""generated as (
   select o_orderkey + 1700000000000 as order_id,
     concat('buyer', {_draw('o_orderkey', '10000', 2)}) as buyer_id,
     concat('product', {_draw('o_orderkey', '2000', 3)}) as product_id,
     concat(case when {_draw('o_orderkey', '2', 1)} = 0 then 'tb_saler' else 'tm_saler' end,
       {_draw('o_orderkey', '10000', 4)}) as saler_id,
-    o_orderkey * 10 + 1704067200000 as create_time,
+    o_orderkey * {step_ms} + 1704067200000 as create_time,
     ({_draw('o_orderkey', '10000000', 5)} + 10) / 100.0 as total_price,
     case when {_draw('o_orderkey', '2', 1)} = 0 then 'tb_order' else 'tm_order' end as topic
   from orders),
@@ -134,6 +144,9 @@ generated_payments as (
   from split)"""
 
 
+GENERATED = _generated(10)
+
+
 def _with(body: str, *parts: str) -> str:
     return "with " + ",\n".join(parts) + "\n" + body
 
@@ -243,9 +256,7 @@ ORACLE = {
   from payments p left join slim s on p.order_id = s.order_id
   where s.order_id is null or s.plat = 'tm'""", *_S),
     "ratio_join": _with(
-        """select m.minute, m.cum_trade as mobile_trade, p.cum_trade as pc_trade
-  from cumulative m join cumulative p on m.minute = p.minute
-  where m.pay_platform = 1 and p.pay_platform = 0""", *_D),
+        "select minute, mobile_trade, pc_trade from both_terminals", *_D),
     "reconcile": _with("select * from compared", *_C),
     "reconcile_ratio": _with(
         """select count(*) as keys, count(l.ratio) as present,
@@ -284,7 +295,7 @@ ORACLE = {
   union all
   select case when pay_platform = 0 then 'pc' else 'mobile' end, create_time // 60000 * 60,
     cast(sum(cast(pay_amount as decimal(18,2))) as double)
-  from generated_payments group by 1, 2""", GENERATED),
+  from generated_payments group by 1, 2""", _generated(20_000)),
     # window, time series
     "dense_minutes": _with("select pay_platform, minute, trade from dense", *_D),
     "cumulative_trade": _with("select pay_platform, minute, cum_trade from cumulative", *_D),
@@ -320,7 +331,9 @@ ORACLE = {
     "upsert_results": _with("select * from turnover", *_U),
     "lookup_results": _with("select key, actual as value from compared", *_C),
     "delete_results": _with("select * from turnover where value >= 20", *_U),
-    "reset_results": _with("select key, cast(0.0 as double) as value from turnover", *_U),
+    "reset_results": _with(
+        f"""select key, cast(0.0 as double) as value from turnover
+  union all select {_RATIO_KEY}, 0.0 from ratios""", *_U, TERMINAL, DENSE),
     "increment_results": _with(
         """select e.key, cast(cast(coalesce(a.value, 0) as decimal(18,2))
     + cast(e.expected as decimal(18,2)) as double) as value

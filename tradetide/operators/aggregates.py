@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradetide import schemas as S
-from tradetide.functions import exact_sum, minute_bucket, result_key
+from tradetide.functions import exact_sum, minute_bucket, result_key, terminal_name
 from tradetide.operators.filters import valid_terminals
 from tradetide.operators.windows import running_sum
 
@@ -92,6 +92,21 @@ def expected_by_platform(payments_with_plat: DataFrame) -> DataFrame:
     ).agg(exact_sum("pay_amount").cast("double").alias("expected"))
 
 
+def expected_results(payments_with_plat: DataFrame) -> DataFrame:
+    """Expected turnover per platform and per terminal, summed from one aggregation of the
+    payments by both.  ``series`` is the platform's or the terminal's name."""
+    both = (
+        payments_with_plat.withColumn("terminal", terminal_name("pay_platform"))
+        .groupBy("plat", "terminal", minute_bucket("create_time").alias("minute"))
+        .agg(exact_sum("pay_amount").alias("part"))
+    )
+    # Each sum counts for its platform and, if the terminal is known, for that.
+    named = both.select("minute", "part", F.explode(F.array("plat", "terminal")).alias("series"))
+    return named.filter("series is not null").groupBy("series", "minute").agg(
+        F.sum("part").cast("double").alias("expected")
+    )
+
+
 def expected_by_terminal(payments: DataFrame) -> DataFrame:
     """Expected turnover per terminal."""
     return minute_trade_by_terminal(payments).withColumnRenamed("trade", "expected")

@@ -101,12 +101,27 @@ def pending_payments(payments: DataFrame, slim: DataFrame) -> DataFrame:
     return with_order_group(payments).join(known, JOIN_KEYS, "left_anti").select(*payments.columns)
 
 
-def rematch_pending(pending: DataFrame, arrived: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Late repair: match a pending table with orders that came since.
+def rematched(pending: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Late repair: a pending table with ``plat`` and ``status`` after one join with the
+    orders that came since: matched, or still pending."""
+    orders = with_order_group(unique_orders(arrived)).select(*JOIN_KEYS, "plat")
+    return (
+        with_order_group(pending)
+        .join(orders, JOIN_KEYS, "left")
+        .select(
+            *pending.columns, "plat",
+            F.when(F.col("plat").isNull(), "pending").otherwise("matched").alias("status"),
+        )
+    )
 
-    Returns the payments now matched and those that stay pending.
-    """
-    return match_payments(pending, arrived), pending_payments(pending, arrived)
+
+def rematch_pending(pending: DataFrame, arrived: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The payments now matched and those that stay pending, out of one join."""
+    both = rematched(pending, arrived)
+    matched = both.filter("status = 'matched'").select(
+        "order_id", "plat", minute_bucket("create_time").alias("minute"), "pay_amount"
+    )
+    return matched, both.filter("status = 'pending'").select(*pending.columns)
 
 
 def orders_seen(order_ids: DataFrame, slim: DataFrame) -> DataFrame:
@@ -148,11 +163,3 @@ def open_orders(payments: DataFrame, slim: DataFrame) -> DataFrame:
 def order_total_check(payments: DataFrame, slim: DataFrame) -> DataFrame:
     """Orders whose payments do not add up to the total exactly."""
     return order_balances(payments, slim).filter("paid <> total_price")
-
-
-def ratio_join(mobile: DataFrame, pc: DataFrame) -> DataFrame:
-    """Two dense cumulative series at equal minutes; minutes of one only drop out."""
-    return (
-        mobile.select("minute", F.col("cum_trade").alias("mobile_trade"))
-        .join(pc.select("minute", F.col("cum_trade").alias("pc_trade")), "minute")
-    )

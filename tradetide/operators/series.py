@@ -125,8 +125,8 @@ def latest_key(series: DataFrame, *group: str) -> DataFrame:
     )
 
 
-def _ratio(cumulative: DataFrame) -> DataFrame:
-    """Mobile over PC at the minutes both series cover; none where PC is zero.
+def ratio_join(cumulative: DataFrame) -> DataFrame:
+    """Both terminals' running totals at the minutes both series cover.
 
     Picking both terminals out of one series costs a small exchange on the
     minute; joining the series to itself would compute it twice.
@@ -138,6 +138,14 @@ def _ratio(cumulative: DataFrame) -> DataFrame:
             F.max(F.when(at == S.TERMINAL_MOBILE, F.col("cum_trade"))).alias("mobile_trade"),
             F.max(F.when(at == S.TERMINAL_PC, F.col("cum_trade"))).alias("pc_trade"),
         )
+        .filter("mobile_trade is not null and pc_trade is not null")
+    )
+
+
+def _ratio(cumulative: DataFrame) -> DataFrame:
+    """Mobile over PC; none where PC is zero."""
+    return (
+        ratio_join(cumulative)
         .select("minute", F.try_divide("mobile_trade", "pc_trade").alias("ratio"))
         .filter("ratio is not null")
     )

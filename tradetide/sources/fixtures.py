@@ -35,7 +35,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders derived from the payments, plus one never-paid order per hundred."""
+    """Orders derived from the payments, and all of ``orders`` as orders never paid."""
     paid = (
         payments(spark, sf_dir)
         .filter("order_id % 50 <> 7")
@@ -58,15 +58,14 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     unpaid = (
         table(spark, sf_dir, "orders")
-        .filter("o_orderkey % 100 = 0")
         .selectExpr(
             "1000000000 + o_orderkey as order_id",
             "concat('buyer', o_custkey) as buyer_id",
             "'product0' as product_id",
-            "case when o_orderkey % 200 = 0 then 'tb_saler0' else 'tm_saler0' end as saler_id",
+            "case when o_orderkey % 2 = 0 then 'tb_saler0' else 'tm_saler0' end as saler_id",
             "cast(1704067200000 as bigint) as create_time",
             "o_totalprice as total_price",
-            "case when o_orderkey % 200 = 0 then 'tb_order' else 'tm_order' end as topic",
+            "case when o_orderkey % 2 = 0 then 'tb_order' else 'tm_order' end as topic",
         )
     )
     return paid.unionByName(unpaid).select(*S.ORDER.fieldNames(), "topic")

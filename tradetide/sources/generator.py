@@ -20,6 +20,7 @@ PAYMENT_DELAY_MS = 100
 
 MODULUS = 2_147_483_647
 MULTIPLIER = 1_327_217_885
+PERIOD_SHIFT = 16_807
 
 
 def indexes(spark: SparkSession, rows: int, partitions: int | None = None) -> DataFrame:
@@ -28,9 +29,14 @@ def indexes(spark: SparkSession, rows: int, partitions: int | None = None) -> Da
 
 
 def draw(index: Column, below: Column | int, stream: int) -> Column:
-    """An integer in [0, below) that depends on the index and the stream number."""
+    """An integer in [0, below) that depends on the index and the stream number.
+
+    An index beyond the modulus starts elsewhere than its remainder does, so values
+    don't repeat with the period of the modulus.
+    """
     below = F.lit(below) if isinstance(below, int) else below
-    reduced = F.pmod(index, F.lit(MODULUS)).cast("bigint")
+    shifted = index + F.call_function("div", index, F.lit(MODULUS)) * PERIOD_SHIFT
+    reduced = F.pmod(shifted, F.lit(MODULUS)).cast("bigint")
     linear = F.pmod(reduced * MULTIPLIER + stream * 1_000_003, F.lit(MODULUS))
     mixed = F.pmod(linear * linear + linear, F.lit(MODULUS))
     return F.call_function("div", mixed * below.cast("bigint"), F.lit(MODULUS))
