@@ -32,7 +32,8 @@ def test_markers_broken_bodies_and_unknown_topics(spark):
     assert rows(envelopes.decode_messages(w).select("type", "order_id", "plat")) == [
         ("order", 1, "tb"), ("pay", 1, None)]
     assert rows(envelopes.quarantine(w).groupBy("topic", "reason").count()) == [
-        ("pay", "body", 4), ("refund", "topic", 1), ("tm_order", "body", 2)]
+        ("pay", "amount", 1), ("pay", "body", 3), ("refund", "topic", 1), ("tm_order", "amount", 1),
+        ("tm_order", "body", 1)]
     assert rows(envelopes.topic_progress(w)) == [
         ("pay", 5, True), ("refund", 1, False), ("tb_order", 1, True), ("tm_order", 2, False)]
 
@@ -68,14 +69,18 @@ def test_catch_up_continues_after_its_checkpoint(spark, tmp_path):
         assert spark.read.parquet(copy).count() == count
 
 
-def test_tail_topic_prints_its_topic(spark, tmp_path):
-    messages.publish(wire(spark, ("pay", PAY), ("tb_order", ORDER)), str(tmp_path / "t"))
-    query = envelopes.tail_topic(envelopes.stream_topics(spark, str(tmp_path / "t")), "pay")
+def test_tail_topic_shows_every_message_in_full(spark, tmp_path):
+    many = [("pay", PAY)] * 50 + [("pay", b"x" * 500), ("tb_order", ORDER)]
+    messages.publish(wire(spark, *many), str(tmp_path / "t"))
+    source = envelopes.stream_topics(spark, str(tmp_path / "t"))
+    query = envelopes.tail_topic(source, "pay", str(tmp_path / "shown"), str(tmp_path / "k"))
     try:
         query.processAllAvailable()
-        assert query.lastProgress is not None and query.exception() is None
+        assert query.exception() is None
     finally:
         query.stop()
+    shown = [r.body for r in spark.read.schema(envelopes.SHOWN).json(str(tmp_path / "shown")).collect()]
+    assert len(shown) == 51 and "x" * 500 in shown
 
 
 def test_hello_rate_runs(spark):

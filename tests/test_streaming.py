@@ -36,7 +36,8 @@ def test_order_before_between_and_after_its_payments(spark, state):
         (1, "tb", 0, 3.0), (2, "tm", 60, 4.0)]
     assert sums(state.advance(batch(spark, [(1, 7, 0, 0), (2, 5, 0, 0)]), 2)) == [
         (1, "tb", 0, 7.0), (2, "tm", 0, 5.0)]
-    assert rows(state.orders(2)) == [] and rows(state.pending(2)) == []
+    assert rows(state.orders(2)) == [(1, "tb", 10.0, 10.0), (2, "tm", 9.0, 9.0)]
+    assert rows(state.pending(2)) == []
 
 
 def test_replaying_a_batch_changes_nothing(spark, state):
@@ -53,7 +54,8 @@ def test_payment_after_settlement_stays_pending_unless_asked(spark, tmp_path):
         assert sums(state.advance(batch(spark, [(1, 2, 0, 0)]), 1)) == matched
 
 
-def test_order_of_nothing_settles_at_once(spark, state):
+def test_order_of_nothing_settles_at_once(spark, tmp_path):
+    state = MatchState(spark, str(tmp_path / "evicting"), keep_settled=False)
     state.advance(batch(spark, [], [(1, "tb", 0)]), 0)
     assert rows(state.orders(0)) == []
     state.advance(batch(spark, [(1, 2, 0, 0)]), 1)
@@ -65,7 +67,60 @@ def test_redelivered_order_keeps_what_was_paid(spark, state):
     state.advance(batch(spark, [], [(1, "tb", 10)]), 1)
     assert rows(state.orders(1)) == [(1, "tb", 10.0, 4.0)]
     state.advance(batch(spark, [(1, 6, 0, 0)]), 2)
-    assert rows(state.orders(2)) == []
+    assert rows(state.orders(2)) == [(1, "tb", 10.0, 10.0)]
+
+
+# Over-paid and paid again after settlement; delivered twice after settlement; never paid; no order.
+MIXED = [
+    ([(1, 10, 0, 0)], [(1, "tb", 10)]),
+    ([(1, 2, 1, 60_000)], [(2, "tm", 9)]),
+    ([(2, 9, 0, 0)], []),
+    ([(9, 1, 0, 0)], [(2, "tm", 9), (3, "tb", 4)]),
+    ([(2, 5, 1, 120_000)], [(2, "tm", 9)]),
+]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_matching_does_not_depend_on_the_cut(spark, tmp_path, parts):
+    columns = ["type", "order_id", "plat", "total_price", "create_time", "pay_amount", "pay_source"]
+    source = str(tmp_path / "in")
+    all_pays = [p for pays, _ in MIXED for p in pays]
+    all_orders = [o for _, orders in MIXED for o in orders]
+    for i in range(parts):
+        chosen = MIXED[len(MIXED) * i // parts:len(MIXED) * (i + 1) // parts]
+        part = batch(spark, [p for pays, _ in chosen for p in pays], [o for _, orders in chosen for o in orders])
+        part.select(columns).coalesce(1).write.mode("append").parquet(source)
+        read = spark.readStream.schema(part.select(columns).schema).parquet(source)
+        job = TurnoverJob(spark, str(tmp_path / "job"), state_partitions=2)
+        job.start(read, availableNow=True).awaitTermination()
+    want = reports.turnover(payments(spark, *all_pays), slim(spark, *all_orders))
+    assert rows(job.results.current()) == rows(want)
+    # Orders 1 and 2 are over-paid and 3 was never paid, so all three are open.
+    assert dict(rows(job.state_report())) == {
+        "orders_seen": 3.0, "payments_seen": 5.0, "open_orders": 3.0, "pending_orders": 1.0,
+        "pending_payments": 1.0}
+
+
+def test_bad_messages_are_kept_and_stop_nothing(spark, tmp_path):
+    from test_sources import ORDER, wire
+
+    def pay(i, amount, at=1704067200000, terminal=0):
+        return (f'{{"order_id": {i}, "pay_amount": {amount}, "pay_source": 0, "pay_platform": {terminal},'
+                f' "create_time": {at}}}').encode()
+
+    bad = [
+        ("pay", pay(1, "1e300"), "amount"), ("pay", pay(1, "1e19"), "amount"),
+        ("pay", pay(1, 5, at=9 * 10**18), "time"), ("refund", pay(1, 5), "topic"), ("pay", b"{broken", "body"),
+        ("pay", pay(1, 2, terminal=7), "terminal"),
+    ]
+    path = str(tmp_path / "t")
+    messages.publish(wire(spark, ("pay", pay(1, 3)), ("tb_order", ORDER), *[b[:2] for b in bad]), path)
+    source = envelopes.stream_topics(spark, path, topics=["pay", "tb_order", "tm_order", "refund"])
+    turnover, ratio = periodic_report(source, str(tmp_path / "job"), availableNow=True)
+    kept = spark.read.parquet(str(tmp_path / "job" / "quarantine"))
+    assert sorted(r.reason for r in kept.collect()) == sorted(b[2] for b in bad)
+    periodic_report(source, str(tmp_path / "job"), availableNow=True)
+    assert spark.read.parquet(str(tmp_path / "job" / "quarantine")).count() == len(bad)
 
 
 def test_hot_order_leaves_one_row_per_minute_in_state(spark, state):

@@ -16,7 +16,7 @@ from tradetide.operators import aggregates, filters, joins, reconcile, series
 from tradetide.plans import reports
 from tradetide.session import stream_settings, work_dir
 from tradetide.sinks import messages as messages_out
-from tradetide.sinks.results import KeyedTable, result_table
+from tradetide.sinks.results import KeyedTable, reset_all, result_table
 from tradetide.sources import envelopes, fixtures, generator
 from tradetide.streaming.keyed_matching import stream_match_keyed
 from tradetide.streaming.matching import stream_match
@@ -94,10 +94,12 @@ def _published(spark, sf, path: str) -> str:
     return path
 
 
+# However much is published, a micro-batch takes this many files.
+FILES_PER_BATCH = 64
+
+
 def _stream(spark, path: str) -> DataFrame:
-    """Published files, about a third of them per micro-batch."""
-    files = spark.read.schema(S.ENVELOPE).parquet(path).rdd.getNumPartitions()
-    return envelopes.stream_topics(spark, path, max_files=max(3, -(-files // 3)))
+    return envelopes.stream_topics(spark, path, max_files=FILES_PER_BATCH)
 
 
 # ------------------------------------------------------ sources and ingest
@@ -173,9 +175,11 @@ def catch_up(spark: SparkSession, sf: str) -> DataFrame:
 def tail_topic(spark: SparkSession, sf: str) -> DataFrame:
     work = work_dir(spark, "tail")
     source = _stream(spark, _published(spark, sf, f"{work}/topics"))
-    one = envelopes.drop_end_markers(source.filter(F.col("topic") == S.TOPIC_TB_ORDER))
-    envelopes.catch_up(one, f"{work}/copy", f"{work}/checkpoint")
-    return envelopes.decode_orders(spark.read.parquet(f"{work}/copy"))
+    envelopes.tail_topic(
+        source, S.TOPIC_TB_ORDER, f"{work}/shown", f"{work}/checkpoint", availableNow=True
+    ).awaitTermination()
+    shown = spark.read.schema(envelopes.SHOWN).json(f"{work}/shown")
+    return envelopes.decode_orders(shown.withColumn("body", F.col("body").cast("binary")))
 
 
 @query
@@ -330,21 +334,12 @@ def rematch_pending(spark: SparkSession, sf: str) -> DataFrame:
     payments, orders = _payments(spark, sf), _orders(spark, sf)
     early, late = orders.filter("plat = 'tb'"), orders.filter("plat = 'tm'")
     pending = joins.pending_payments(payments, early)
-    matched, still = joins.rematch_pending(pending, late)
-    columns = ["order_id", "pay_amount", "status"]
-    return (
-        matched.withColumn("status", F.lit("matched"))
-        .select(columns)
-        .unionByName(still.withColumn("status", F.lit("pending")).select(columns))
-    )
+    return joins.rematched(pending, late).select("order_id", "pay_amount", "status")
 
 
 @query
 def ratio_join(spark: SparkSession, sf: str) -> DataFrame:
-    dense = series.cumulative_trade(_terminal_series(spark, sf), "pay_platform")
-    mobile = dense.filter(F.col("pay_platform") == S.TERMINAL_MOBILE)
-    pc = dense.filter(F.col("pay_platform") == S.TERMINAL_PC)
-    return joins.ratio_join(mobile, pc)
+    return series.ratio_join(series.cumulative_trade(_terminal_series(spark, sf), "pay_platform"))
 
 
 def _turnover_expected(spark, sf):
@@ -423,15 +418,11 @@ def reconcile_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def expected_results(spark: SparkSession, sf: str) -> DataFrame:
-    payments = gen_payments(spark, sf)
-    plat = fn.trade_platform("topic").alias("plat")
-    by_platform = aggregates.expected_by_platform(payments.select("*", plat)).select(
-        F.col("plat").alias("series"), "minute", "expected"
-    )
-    by_terminal = aggregates.expected_by_terminal(payments).select(
-        fn.terminal_name("pay_platform").alias("series"), "minute", "expected"
-    )
-    return by_platform.unionByName(by_terminal)
+    """Orders 20 seconds apart, so that the series has many minutes."""
+    index = fixtures.table(spark, sf, "orders").select(F.col("o_orderkey").alias("i"))
+    payments = generator.gen_payments(generator.gen_orders(index, step_ms=20_000))
+    payments = payments.withColumn("plat", fn.trade_platform("topic"))
+    return aggregates.expected_results(payments)
 
 
 # ------------------------------------------------------ window, time series
@@ -539,9 +530,7 @@ def stream_matched_payments_keyed(spark: SparkSession, sf: str) -> DataFrame:
 def report_turnover_and_ratio(spark: SparkSession, sf: str) -> DataFrame:
     work = work_dir(spark, "report")
     source = _stream(spark, _published(spark, sf, f"{work}/topics"))
-    turnover, ratio = periodic_report(
-        envelopes.decode_messages(source), f"{work}/job", availableNow=True
-    )
+    turnover, ratio = periodic_report(source, f"{work}/job", availableNow=True)
     return turnover.results.current().unionByName(ratio.results.current())
 
 
@@ -586,9 +575,12 @@ def delete_results(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def reset_results(spark: SparkSession, sf: str) -> DataFrame:
-    table = _turnover_table(spark, sf)
-    table.reset(2)
-    return table.current()
+    """Both published series: turnover and ratios."""
+    turnover = _turnover_table(spark, sf)
+    ratio = result_table(spark, work_dir(spark, "ratios"))
+    ratio.upsert(reports.ratios(_payments(spark, sf)), 0)
+    reset_all([turnover, ratio], 2)
+    return turnover.current().unionByName(ratio.current())
 
 
 @query

@@ -4,7 +4,8 @@ Amounts are doubles.  Adding doubles in whatever order tasks finish gives a
 slightly different total on every run, and casting each row to a decimal costs
 more than the scan.  ``exact_sum`` adds whole units and millionths as two
 64-bit integers instead, and joins them once per group.  Neither can overflow
-below 9e12 rows of up to a million units each; beyond, ANSI mode raises.
+below 9e12 rows of up to a million units each; beyond, ANSI mode raises.  An
+amount of ``LIMIT`` or more, or one that is no number, raises too: nothing saturates.
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(27,6)"  # one amount, or the total of a minute or an order
 TOTAL = "decimal(37,6)"  # a running total of those
+LIMIT = 1e15  # above, a double no longer holds hundredths
 
 
 def _parts(amount: Column | str) -> tuple[Column, Column]:
     amount = F.col(amount) if isinstance(amount, str) else amount
-    whole = F.floor(amount)
+    outside = amount.isNotNull() & ~(F.abs(amount) < LIMIT)
+    whole = F.when(
+        outside, F.raise_error(F.lit("amount out of range")).cast("bigint")
+    ).otherwise(F.floor(amount))
     return whole, F.floor((amount - whole) * 1_000_000 + 0.5)
 
 

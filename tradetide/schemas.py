@@ -26,12 +26,6 @@ ENVELOPE = T.StructType([
     T.StructField("topic", T.StringType()),
 ])
 
-RESULT = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("value", T.DoubleType()),  # null marks a deleted key
-    T.StructField("batch_id", T.LongType()),
-])
-
 # Topics, end-of-stream body, platform names and codes.
 TOPIC_PAYMENT = "pay"
 TOPIC_TB_ORDER = "tb_order"

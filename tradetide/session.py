@@ -55,13 +55,14 @@ def setting(spark: SparkSession, name: str, value: str):
 
 
 @contextmanager
-def stream_settings(spark: SparkSession):
+def stream_settings(spark: SparkSession, state_partitions: int | None = None):
     """Settings a stateful query takes over when it starts.
 
     The number of state partitions is fixed by a query's first start and is not
-    adapted later, so it follows the size of the cluster, not the batch default.
+    adapted later.  Set ``state_partitions`` for the state the job will hold one
+    day; the default, the cores at first start, is only right for a fixed cluster.
     """
-    partitions = str(spark.sparkContext.defaultParallelism)
+    partitions = str(state_partitions or spark.sparkContext.defaultParallelism)
     with setting(spark, STATE_PROVIDER, ROCKSDB):
         with setting(spark, "spark.sql.shuffle.partitions", partitions):
             yield

@@ -133,6 +133,12 @@ class KeyedTable:
         self._ready = generation
 
 
+def reset_all(tables: list[KeyedTable], batch_id: int) -> None:
+    """Set every key ever published in any of the tables to 0.0."""
+    for table in tables:
+        table.reset(batch_id)
+
+
 def result_table(spark: SparkSession, path: str) -> KeyedTable:
     """Published results: key to value."""
     return KeyedTable(spark, path).create()

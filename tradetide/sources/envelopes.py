@@ -122,20 +122,36 @@ def _parsed(envelopes: DataFrame, schema: T.StructType) -> DataFrame:
     return envelopes.select("*", F.explode(F.array(record)).alias("record"))
 
 
-def _usable(*fields: str, amount: str) -> Column:
-    """The record has these fields, and an amount that is a finite number."""
+# What a record may hold: amounts that sums hold exactly, and times from 1970 to 2100.
+# A single time beyond would stretch a minute series over everything in between.
+MAX_AMOUNT = 1e12
+MAX_TIME = 4_102_444_800_000
+
+
+def _in_range(amount: str) -> Column:
+    return F.abs(f"record.{amount}") <= MAX_AMOUNT
+
+
+def _in_time() -> Column:
+    time = F.col("record.create_time")
+    return (time >= 0) & (time < MAX_TIME)
+
+
+def _has(*fields: str) -> Column:
     usable = F.col("record").isNotNull()
     for name in fields:
         usable = usable & F.col(f"record.{name}").isNotNull()
-    return usable & (F.abs(f"record.{amount}") < float("inf"))
+    return usable
 
 
 def _usable_payment() -> Column:
-    return _usable("order_id", "create_time", amount="pay_amount")
+    return _has("order_id", "create_time", "pay_amount") & _in_range("pay_amount") & _in_time()
 
 
 def _usable_order() -> Column:
-    return _usable("order_id", amount="total_price")
+    """An order's time is not used, so it may lack one, but not have an impossible one."""
+    timed = F.coalesce(_in_time(), F.lit(True))
+    return _has("order_id", "total_price") & _in_range("total_price") & timed
 
 
 def decode_payments(envelopes: DataFrame) -> DataFrame:
@@ -168,11 +184,28 @@ def decode_messages(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(envelopes: DataFrame) -> DataFrame:
-    """Messages of unknown topics and bodies that do not decode, with the reason."""
+def quarantine(envelopes: DataFrame, terminals: bool = False) -> DataFrame:
+    """Rejected messages with the reason: an unknown ``topic``, a ``body`` that does not
+    decode, an ``amount`` or a ``time`` out of range.
+
+    With ``terminals`` also payments of an unknown ``terminal``, which count for turnover
+    but for no terminal's series.
+    """
     parsed = _parsed(with_route(drop_end_markers(envelopes)), MESSAGE)
-    reason = F.when(F.col("route") == "unknown", "topic").otherwise("body")
+    amount = F.when(F.col("route") == "pay", F.col("record.pay_amount")).otherwise(F.col("record.total_price"))
+    whole = F.col("record.order_id").isNotNull() & amount.isNotNull()
+    reason = (
+        F.when(F.col("route") == "unknown", "topic")
+        .when(whole & ~(F.abs(amount) <= MAX_AMOUNT), "amount")
+        .when(whole & ~_in_time(), "time")
+        .otherwise("body")
+    )
     rejected = ~F.coalesce(_message_valid(), F.lit(False))
+    if terminals:
+        known = F.col("record.pay_platform").isin(S.TERMINAL_PC, S.TERMINAL_MOBILE)
+        stray = (F.col("route") == "pay") & ~F.coalesce(known, F.lit(False))
+        reason = F.when(rejected, reason).otherwise("terminal")
+        rejected = rejected | stray
     return parsed.filter(rejected).select("topic", "body", reason.alias("reason"))
 
 
@@ -191,12 +224,20 @@ def catch_up(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def tail_topic(stream: DataFrame, topic: str, rows: int = 20):
-    """Show the first rows of every batch of one topic; returns the running query."""
+SHOWN = "topic string, body string, ts timestamp"
+
+
+def tail_topic(stream: DataFrame, topic: str, path: str, checkpoint: str, **trigger):
+    """Write out every message of one topic in full, one JSON line each, as they come.
+
+    Returns the running query.
+    """
     return (
         stream.filter(F.col("topic") == topic)
         .select("topic", F.col("body").cast("string").alias("body"), "ts")
-        .writeStream.format("console")
-        .option("numRows", rows)
+        .writeStream.format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
         .start()
     )

@@ -1,9 +1,12 @@
-"""Matching payments with orders on a stream, by incremental batch joins.
+"""Matching payments with orders on a stream.
 
-Which side comes first is unknown, and an order leaves the state when it is
-paid in full, not after some time, so a windowed stream-stream join cannot
-express it.  Each micro-batch is therefore joined with what the batches before
-it left over: payments without an order, and orders not yet settled.
+Which side comes first is unknown.  ``matched_stream`` joins both in Spark's state
+store and is what the jobs use.
+
+``MatchState`` is for taking in a backlog in a few large batches: each batch is
+joined with what the batches before it left over, payments without an order and
+orders, and rewrites that.  There ``keep_settled=False`` evicts settled orders;
+their later payments then stay pending, so the result depends on the batches.
 
 All work is ordinary DataFrame operators.  Payments are summed per order and
 minute before they are shuffled, so an order with a third of all payments costs
@@ -29,6 +32,9 @@ from tradetide.operators.joins import (
     platform_totals,
     with_order_group,
 )
+from tradetide.session import stream_settings
+
+SALTS = 8
 
 PAYMENT_STATE = (
     "order_id bigint, plat string, minute bigint, pay_amount double, payments bigint,"
@@ -40,10 +46,9 @@ ORDER_STATE = "order_id bigint, plat string, total_price double, paid double"
 class MatchState:
     """What matching carries from one micro-batch to the next."""
 
-    def __init__(self, spark: SparkSession, path: str, keep_settled: bool = False):
-        """``keep_settled`` also matches payments that come after settlement.
-
-        By default such a payment stays pending, because its order is gone.
+    def __init__(self, spark: SparkSession, path: str, keep_settled: bool = True):
+        """Without ``keep_settled`` settled orders are evicted, and a payment that
+        comes after settlement stays pending.
         """
         self.spark = spark
         self.path = path.rstrip("/")
@@ -136,27 +141,67 @@ class MatchState:
         state.write.mode("overwrite").parquet(self._folder("orders", batch_id))
 
 
+def matched_stream(messages: DataFrame) -> DataFrame:
+    """Every payment of a stream whose order arrives, whichever comes first.
+
+    Payments and orders are joined in Spark's state store, so a micro-batch costs
+    what its own rows cost, however much the state holds.  An order stays, and a
+    payment after settlement matches like any other: what is matched doesn't depend
+    on how the stream is cut.  Copies of an order count once; should two orders
+    share an id, the first one counts.
+
+    A payment goes to one of ``SALTS`` parts by its content and an order to all of
+    them, so that one order's payments don't end in one state partition.
+    """
+    orders = (
+        of_type(messages, "order")
+        .select("order_id", "plat", "total_price")
+        .dropna(subset=["order_id", "total_price"])
+        .dropDuplicates(["order_id"])
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    salt = F.pmod(F.xxhash64("create_time", "pay_source", "pay_amount"), F.lit(SALTS)).cast("int")
+    paid = of_type(messages, "pay").select(
+        "order_id", minute_bucket("create_time").alias("minute"), "pay_amount", salt.alias("salt")
+    )
+    return paid.join(orders, ["order_id", "salt"]).select(
+        "order_id", "plat", "minute", "pay_amount", "total_price"
+    )
+
+
+def held(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """Payments and orders in the state of a ``matched_stream`` query."""
+
+    def side(name: str) -> DataFrame:
+        state = spark.read.format("statestore").option("joinSide", name).load(checkpoint)
+        return state.select("value.*")
+
+    orders = side("right").filter("salt = 0")
+    return side("left").select("order_id", "minute", "pay_amount"), orders.select(
+        "order_id", "plat", "total_price"
+    )
+
+
 def stream_match(
-    messages: DataFrame, path: str, keep_settled: bool = False, **trigger
+    messages: DataFrame, path: str, state_partitions: int | None = None, **trigger
 ) -> StreamingQuery:
     """Write matched payments, summed per order and minute, batch by batch.
 
     Each micro-batch owns the folder ``matched/batch_id=N`` below ``path``.
     """
     path = path.rstrip("/")
-    state = MatchState(messages.sparkSession, f"{path}/state", keep_settled)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            matched = state.advance(batch, batch_id).drop("status")
-            matched.write.mode("overwrite").parquet(f"{path}/matched/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+    def process(matched: DataFrame, batch_id: int) -> None:
+        summed = matched.groupBy("order_id", "plat", "minute").agg(
+            exact_sum("pay_amount").cast("double").alias("pay_amount")
+        )
+        summed.write.mode("overwrite").parquet(f"{path}/matched/batch_id={batch_id}")
 
-    return (
-        messages.writeStream.foreachBatch(process)
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with stream_settings(messages.sparkSession, state_partitions):
+        return (
+            matched_stream(messages)
+            .writeStream.foreachBatch(process)
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )

@@ -6,6 +6,8 @@ the keys whose value changed.  A trigger interval sets how often they report.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,11 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tradetide import schemas as S
 from tradetide.functions import exact_sum
 from tradetide.operators.filters import of_type
+from tradetide.operators.joins import open_orders, pending_payments
 from tradetide.operators.series import mobile_pc_ratio
 from tradetide.plans.reports import ratio_rows, turnover_rows
 from tradetide.session import stream_settings
 from tradetide.sinks.results import KeyedTable, result_table
-from tradetide.streaming.matching import MatchState
+from tradetide.sources.envelopes import decode_messages, quarantine
+from tradetide.streaming.matching import held, matched_stream
 from tradetide.streaming.minute_trade import stream_minute_trade
 
 # How often each series is published.
@@ -28,28 +32,22 @@ RATIO_INTERVAL = "30 seconds"
 class TurnoverJob:
     """Tagged messages to turnover per platform and minute."""
 
-    def __init__(self, spark: SparkSession, path: str, keep_settled: bool = False, **prefixes: str):
+    def __init__(
+        self, spark: SparkSession, path: str, state_partitions: int | None = None, **prefixes: str
+    ):
+        """``state_partitions`` is fixed for good by the first start; see ``stream_settings``."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.prefixes = prefixes
-        self.state = MatchState(spark, f"{self.path}/match", keep_settled)
+        self.state_partitions = state_partitions
+        self.checkpoint = f"{self.path}/turnover_checkpoint"
         self.minutes = KeyedTable(
             spark, f"{self.path}/turnover_minutes", "plat string, minute bigint"
         ).create()
         self.results = result_table(spark, f"{self.path}/turnover")
-        self.seen = KeyedTable(spark, f"{self.path}/seen", "metric string").create()
-        self.held = KeyedTable(spark, f"{self.path}/held", "metric string").create()
-
-    def process(self, messages: DataFrame, batch_id: int) -> None:
-        """One micro-batch; running it again gives the same tables."""
-        messages = messages.persist()
-        try:
-            self._publish(self.state.advance(messages, batch_id), batch_id)
-            self._count(messages, batch_id)
-        finally:
-            messages.unpersist()
-
-    def _publish(self, matched: DataFrame, batch_id: int) -> None:
+
+    def process(self, matched: DataFrame, batch_id: int) -> None:
+        """One micro-batch of matched payments; running it again gives the same tables."""
         per_minute = matched.groupBy("plat", "minute").agg(
             exact_sum("pay_amount").cast("double").alias("value")
         )
@@ -57,34 +55,35 @@ class TurnoverJob:
         series = self.minutes.current(upto=batch_id).withColumnRenamed("value", "trade")
         self.results.upsert_changed(turnover_rows(series, **self.prefixes), batch_id)
 
-    def _count(self, messages: DataFrame, batch_id: int) -> None:
-        seen = messages.agg(
-            F.count_if(F.col("type") == "order").alias("orders_seen"),
-            F.count_if(F.col("type") == "pay").alias("payments_seen"),
-        )
-        distance = F.abs(F.col("total_price") - F.col("paid"))
-        held = self.state.orders(batch_id).agg(
-            F.count_if(distance > S.SETTLED_TOLERANCE).alias("open_orders")
-        )
-        waiting = self.state.pending(batch_id).agg(
+    def state_report(self) -> DataFrame:
+        """Orders and payments seen so far, and what is open among them: (metric, value).
+
+        Read from the state when asked for; micro-batches count nothing.
+        """
+        payments, orders = held(self.spark, self.checkpoint)
+        unsettled = open_orders(payments, orders).agg(F.count("*").alias("open_orders"))
+        waiting = pending_payments(payments, orders).agg(
             F.countDistinct("order_id").alias("pending_orders"),
-            F.coalesce(F.sum("payments"), F.lit(0)).alias("pending_payments"),
+            F.count("*").alias("pending_payments"),
         )
-        self.seen.increment(_as_metrics(seen), batch_id)
-        self.held.upsert(_as_metrics(held).unionByName(_as_metrics(waiting)), batch_id)
-
-    def state_report(self) -> DataFrame:
-        """Orders and payments seen so far, and what the state holds of them."""
-        return self.seen.current().unionByName(self.held.current())
+        counts = [
+            orders.agg(F.count("*").alias("orders_seen")),
+            payments.agg(F.count("*").alias("payments_seen")),
+            unsettled,
+            waiting,
+        ]
+        return reduce(DataFrame.unionByName, map(_as_metrics, counts))
 
     def start(self, messages: DataFrame, **trigger) -> StreamingQuery:
         """Run on a stream of tagged messages; every 25 seconds unless told otherwise."""
-        return (
-            messages.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", f"{self.path}/turnover_checkpoint")
-            .trigger(**(trigger or {"processingTime": TURNOVER_INTERVAL}))
-            .start()
-        )
+        with stream_settings(self.spark, self.state_partitions):
+            return (
+                matched_stream(messages)
+                .writeStream.foreachBatch(self.process)
+                .option("checkpointLocation", self.checkpoint)
+                .trigger(**(trigger or {"processingTime": TURNOVER_INTERVAL}))
+                .start()
+            )
 
 
 class RatioJob:
@@ -123,15 +122,41 @@ class RatioJob:
             )
 
 
-def periodic_report(messages: DataFrame, path: str, **trigger) -> tuple[TurnoverJob, RatioJob]:
-    """Both jobs on one stream of tagged messages.
+def write_rejected(stream: DataFrame, path: str, **trigger) -> StreamingQuery:
+    """Write rejected envelopes of a stream, and payments of unknown terminals, with the reason.
+
+    Each micro-batch owns the folder ``quarantine/batch_id=N`` below ``path``, so that a
+    replayed one writes nothing twice.
+    """
+    path = path.rstrip("/")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        rejected = quarantine(batch, terminals=True)
+        rejected.write.mode("overwrite").parquet(f"{path}/quarantine/batch_id={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(process)
+        .option("checkpointLocation", f"{path}/quarantine_checkpoint")
+        .trigger(**(trigger or {"processingTime": TURNOVER_INTERVAL}))
+        .start()
+    )
+
+
+def periodic_report(stream: DataFrame, path: str, **trigger) -> tuple[TurnoverJob, RatioJob]:
+    """Both jobs on one stream of envelopes, or of messages already decoded.
 
-    With ``availableNow=True`` they catch up and stop; otherwise they keep
-    running at their own intervals and this returns while they do.
+    Of envelopes, those that are rejected are kept below ``quarantine``.  With
+    ``availableNow=True`` the jobs catch up and stop; otherwise they keep running at
+    their own intervals and this returns while they do.
     """
-    spark = messages.sparkSession
+    spark = stream.sparkSession
     turnover, ratio = TurnoverJob(spark, path), RatioJob(spark, path)
-    queries = [
+    queries = []
+    messages = stream
+    if "body" in stream.columns:
+        queries.append(write_rejected(stream, path, **trigger))
+        messages = decode_messages(stream)
+    queries += [
         turnover.start(messages, **trigger),
         ratio.start(of_type(messages, "pay"), **trigger),
     ]
@@ -141,6 +166,16 @@ def periodic_report(messages: DataFrame, path: str, **trigger) -> tuple[Turnover
     return turnover, ratio
 
 
+def backlog(query: StreamingQuery) -> dict[str, int]:
+    """What is still queued at a running query's sources, by the sources' own metrics."""
+    found: dict[str, int] = {}
+    for source in query.lastProgress.sources if query.lastProgress else []:
+        for name, value in (source.metrics or {}).items():
+            if name.endswith("Outstanding") or "OffsetsBehind" in name:
+                found[name] = found.get(name, 0) + int(float(value))
+    return found
+
+
 def state_rows(query: StreamingQuery) -> int:
     """Rows a running query holds in its state stores."""
     progress = query.lastProgress
