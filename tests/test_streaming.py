@@ -206,7 +206,7 @@ def test_failure_inside_a_batch_is_repeated_without_effect(spark, topics, batch_
 def test_keyed_state_matches_the_batch_and_is_evicted(spark, topics, batch_answer, tmp_path):
     with stream_settings(spark):
         query = (
-            stream_match_keyed(stream(spark, topics))
+            stream_match_keyed(stream(spark, topics), evict_settled=True)
             .writeStream.format("parquet")
             .option("path", str(tmp_path / "matched"))
             .option("checkpointLocation", str(tmp_path / "k"))
@@ -290,6 +290,6 @@ def test_keyed_state_over_restarts(spark, tmp_path):
         part.select(columns).coalesce(1).write.mode("append").parquet(source)
         read = spark.readStream.schema(part.select(columns).schema).parquet(source)
         with stream_settings(spark):
-            envelopes.catch_up(stream_match_keyed(read), out, str(tmp_path / "k"))
+            envelopes.catch_up(stream_match_keyed(read, evict_settled=True), out, str(tmp_path / "k"))
         want += added
         assert sums(spark.read.parquet(out)) == sorted(want)

@@ -33,13 +33,16 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Matcher(StatefulProcessor):
-    """State per order id: the unsettled order, or the payments waiting for it.
+    """State per order id: the order, or the payments waiting for it.
 
     Every access to state is a round trip to the JVM, so one value holds what
     most keys need: the order, or the first waiting minute.  Further waiting
     minutes go to a map, which is only touched when there are any.
     """
 
+    def __init__(self, evict_settled: bool):
+        self.evict_settled = evict_settled
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.main = handle.getValueState(
             "main",
@@ -65,7 +68,7 @@ class _Matcher(StatefulProcessor):
             held = None
         plat, total, paid = (*arrived, 0.0) if held is None else held[:3]
         paid += sum(sums.values())
-        if abs(total - paid) > S.SETTLED_TOLERANCE:
+        if not self.evict_settled or abs(total - paid) > S.SETTLED_TOLERANCE:
             self.main.update((plat, total, paid, None, None, False))
         else:
             self.main.clear()
@@ -96,9 +99,12 @@ class _Matcher(StatefulProcessor):
         pass
 
 
-def stream_match_keyed(messages: DataFrame) -> DataFrame:
+def stream_match_keyed(messages: DataFrame, evict_settled: bool = False) -> DataFrame:
     """Tagged messages to matched payments, summed per order and minute.
 
+    With ``evict_settled`` an order leaves the state when it is paid in full.  Its
+    later payments then wait for good, so the result depends on the micro-batches.
+
     Start the query under ``session.stream_settings``: it needs the RocksDB provider.
     """
     slim = messages.select(
@@ -111,5 +117,5 @@ def stream_match_keyed(messages: DataFrame) -> DataFrame:
     return (
         slim.mapInArrow(_combine, COMBINED)
         .groupBy("order_id")
-        .transformWithState(_Matcher(), MATCHED, "Append", "None")
+        .transformWithState(_Matcher(evict_settled), MATCHED, "Append", "None")
     )
