@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tradetide.llm.components import stored
 from tradetide.llm.numbering import expanded, numbered
+from tradetide.llm.rows import packed, unpacked
 
 PARTS = 1000
 BLOCK_ROWS = 4
@@ -169,9 +170,7 @@ def in_mixed_order(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     positions = stored(
         mixed(rows, "key").groupBy("key", "source", "digest").agg(F.min("position").alias("position")),
         "mixing-positions")
-    joined = docs.withColumn("_digest", digest).join(
-        positions.select(F.col("key").alias("_key"), F.col("source").alias("_source"),
-                         F.col("digest").alias("_of"), F.col("position").alias("_position")),
-        F.col(key).eqNullSafe(F.col("_key")) & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_digest") == F.col("_of")))
-    return joined.repartitionByRange("_position").sortWithinPartitions("_position").select(*docs.columns)
+    joined = packed(docs, of_key=F.col(key), of_source=F.col("source"), of_digest=digest).join(
+        positions, F.col("of_key").eqNullSafe(F.col("key")) & F.col("of_source").eqNullSafe(F.col("source"))
+        & (F.col("of_digest") == F.col("digest")))
+    return unpacked(joined.repartitionByRange("position").sortWithinPartitions("position"), docs.columns)

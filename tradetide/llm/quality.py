@@ -30,6 +30,7 @@ from pyspark.sql import Window
 
 from tradetide.llm.bpe import per_batch, texts_of
 from tradetide.llm.components import stored
+from tradetide.llm.rows import packed, unpacked
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 LEAST_WORDS, MOST_REPEATED_PERCENT = 10, 20
@@ -202,4 +203,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """
     lean = with_counts(docs.select("lang", "source", "text"), keep_text=False)
     limits = stored(fences(sketches(measured(lean))), "quality-limits")
-    return judge(measured(with_counts(docs)), limits).where("kept").select(*docs.columns)
+    rows = packed(docs, lang=F.col("lang"), source=F.col("source"))
+    return unpacked(judge(measured(with_counts(rows)), limits).where("kept"), docs.columns)

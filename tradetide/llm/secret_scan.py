@@ -5,8 +5,8 @@ characters (``RUN``) that a character Markov model of random strings explains
 better than one of ordinary identifiers, by a log-likelihood ratio of at least
 ``THRESHOLD`` thousandths of a nat, and that touch no base finding.  Both models
 are trained from labelled samples: generated keys in the usual alphabets, and
-ordinary words, joined identifiers, numbers and dates.  The words come from at
-most ``SAMPLE_DOCUMENTS`` documents and number at most ``SAMPLE_WORDS``; that
+ordinary words, joined identifiers, numbers and dates.  The words are ``NAME_WORDS`` and
+at most ``SAMPLE_WORDS`` of at most ``SAMPLE_DOCUMENTS`` documents; that
 bounds the training, not the scan, which covers every whole text.
 
 All of it is DataFrame and SQL functions.  The models end in one table of
@@ -26,11 +26,25 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradetide.llm.rows import packed, unpacked
+
 SAMPLE_DOCUMENTS, SAMPLE_WORDS, SAMPLE_KEYS = 2_000, 20_000, 20_000
 THRESHOLD = 12_000
 SHORTEST_RUN = 20
 MARK = "[SECRET]"
 
+# Words that ordinary names are made of, whatever the corpus's language.
+NAME_WORDS = (
+    "add all and any app array as at back base be block body by call case check class client close code color"
+    " column config content count create data date default delete of on end error event example false field file"
+    " first for form format from function get group handle hash header height id image in index info init input"
+    " is item key label last length level line link list load local log main map max message method min mode"
+    " model module name new next node not null number object old open option or order out page param parent"
+    " path point port position process project query read record remove request reset response result return"
+    " root row run save score search section select server service set size some sort source start state status"
+    " step stop string style table target temp test text the this time title to token total tree true type"
+    " update url use user value version view where width with word write")
+
 # The base patterns, the group that must be long enough, and its length.
 BASE = [
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -67,8 +81,11 @@ def ordinary_identifiers(docs: DataFrame, text: str = "text") -> DataFrame:
     words = (
         kept.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![^\s])[A-Za-z]{2,}(?=[\s.,;:!?])"), F.lit(0))).alias("w"))
         .distinct().orderBy(F.xxhash64("w"), "w").limit(SAMPLE_WORDS))
-    # Each word with the two of the ranks after it, by a join on rank within 64 classes.
-    ranked = words.select("w", F.pmod(F.xxhash64("w"), F.lit(64)).alias("c"))
+    names = spark.range(1).select(F.explode(F.split(F.lit(NAME_WORDS), " ")).alias("w"))
+    words = words.unionByName(names)
+    # Each word with the two after it in three of 64 classes by hash.
+    ranked = words.select("w", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("turn")).select(
+        "w", F.pmod(F.xxhash64("w", "turn"), F.lit(64)).alias("c"))
     firsts = ranked.groupBy("c").agg(F.sort_array(F.collect_list("w")).alias("all"))
     several = firsts.select(F.posexplode("all").alias("i", "a"), "all").select(
         "a", F.coalesce(F.get("all", F.col("i") + 1), "a").alias("b"),
@@ -207,7 +224,7 @@ def findings(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, model: list[int], text: str = "text") -> DataFrame:
     """``docs`` with every finding in the text replaced by ``MARK``; findings that overlap
     become one mark.  Null texts stay null."""
-    scanned = scan(docs, model, text)
+    scanned = scan(packed(docs, text), model)
     merged = F.aggregate(
         "found", F.expr(f"cast(array() as {SPANS})"),
         lambda acc, s: F.when(
@@ -218,9 +235,10 @@ def redact(docs: DataFrame, model: list[int], text: str = "text") -> DataFrame:
         .otherwise(F.concat(acc, F.array(s)).cast(SPANS)))
     scanned = scanned.withColumn("_m", F.when(F.size("found") > 0, merged))
     kept = F.transform("_m", lambda s, i: F.concat(
-        F.substring(F.col(text), F.when(i == 0, F.lit(1)).otherwise(F.get("_m", i - 1)["end"] + 1),
+        F.substring(F.col("text"), F.when(i == 0, F.lit(1)).otherwise(F.get("_m", i - 1)["end"] + 1),
                     s["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get("_m", i - 1)["end"])),
         F.lit(MARK)))
-    rest = F.substring(F.col(text), F.element_at("_m", -1)["end"] + 1, F.length(text))
-    return scanned.withColumn(text, F.when(
-        F.size("found") > 0, F.concat(F.array_join(kept, ""), rest)).otherwise(F.col(text))).select(*docs.columns)
+    rest = F.substring(F.col("text"), F.element_at("_m", -1)["end"] + 1, F.length("text"))
+    hidden = scanned.withColumn("text", F.when(
+        F.size("found") > 0, F.concat(F.array_join(kept, ""), rest)).otherwise(F.col("text")))
+    return unpacked(hidden, docs.columns, text)

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from tradetide.llm.bpe import per_batch, texts_of
 from tradetide.llm.components import components, stored
+from tradetide.llm.rows import packed, unpacked
 
 BITS = 64
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -162,8 +163,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> Data
         winners.alias("w").join(copies.alias("c"), F.col("w.key").eqNullSafe(F.col("c.key"))
                                 & (F.col("w.digest") == F.col("c.digest"))).select("w.*", "copies"),
         "simhash-winners")
-    kept = docs.withColumn("_digest", F.xxhash64("text")).join(
-        winners, F.col(key).eqNullSafe(winners["key"]) & (F.col("_digest") == winners["digest"]))
+    rows = packed(docs, of_key=F.col(key), of_digest=F.xxhash64("text"))
+    kept = rows.join(
+        winners, F.col("of_key").eqNullSafe(F.col("key")) & (F.col("of_digest") == F.col("digest")))
     once = kept.where("copies = 1")
-    again = kept.where("copies > 1").dropDuplicates([*({key} & set(docs.columns)), "_digest"])
-    return once.unionByName(again).select(*[docs[c] if c in docs.columns else c for c in docs.columns])
+    again = kept.where("copies > 1").dropDuplicates(["key", "digest"])
+    return unpacked(once.unionByName(again), docs.columns)
