@@ -120,3 +120,27 @@ def test_shuffles_start_with_enough_partitions(spark):
         assert spark.conf.get(name) == "80"
     finally:
         spark.conf.unset(name)
+
+
+def test_reading_and_pruning_touch_only_the_newest_generation(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = KeyedTable(spark, path, span=2).create()
+    for batch_id in range(7):
+        table.increment(kv(spark, a=1.0), batch_id)
+    newest = {f.split("generation=")[1].split("/")[0] for f in table.history().inputFiles()}
+    assert newest == {"3"} and rows(table.current()) == [("a", 7.0)]
+    table.prune(keep=1)
+    assert table._numbers(path, "generation") == [3]
+    assert rows(KeyedTable(spark, path, span=2).create().current()) == [("a", 7.0)]
+    table.increment(kv(spark, a=1.0), 7)
+    assert rows(table.current()) == [("a", 8.0)]
+
+
+def test_reset_of_several_tables(spark, tmp_path):
+    from tradetide.sinks.results import reset_all
+
+    tables = [result_table(spark, str(tmp_path / name)) for name in ("turnover", "ratio")]
+    for table in tables:
+        table.upsert(kv(spark, a=2.0), 0)
+    reset_all(tables, 1)
+    assert [rows(t.current()) for t in tables] == [[("a", 0.0)]] * 2

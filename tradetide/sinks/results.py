@@ -6,8 +6,9 @@ table as it was.  The current value of a key is the one of its latest batch.
 
 Batches are grouped in generations of ``span`` batches.  A generation starts
 from a base, the current values at its beginning, so reading the table never
-takes more than one generation, however long a job has been running.  Older
-generations are not read again and may be removed.
+takes more than one generation, however long a job has been running.  Finding
+the newest one lists the generations' names and that one's folder, not the
+batches of the others.  Older generations are not read again; ``prune`` removes them.
 """
 
 from __future__ import annotations
@@ -87,8 +88,38 @@ class KeyedTable:
         keys = self._before(batch_id).select(*self.keys).distinct()
         self.upsert(keys.withColumn("value", F.lit(0.0)), batch_id)
 
+    def prune(self, keep: int = 2) -> None:
+        """Remove all but the newest generations; ``upto`` then reaches back no further."""
+        if keep < 1:
+            raise ValueError("at least the newest generation stays")
+        newest = self._newest()
+        for generation in self._numbers(self.path, "generation"):
+            if generation <= newest - keep:
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(
+                    f"{self.path}/generation={generation}")
+                self._files(folder).delete(folder, True)
+
     # ------------------------------------------------------------ internals
 
+    def _files(self, folder):
+        """The file system a Hadoop path lies in."""
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbers(self, path: str, name: str, written: bool = False) -> list[int]:
+        """Numbers of the folders ``name=N`` right below a path, the newest first; of
+        ``written`` ones only those whose writing has ended."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = self._files(folder)
+        if not files.exists(folder):
+            return []
+        found = []
+        for status in files.listStatus(folder):
+            prefix, _, number = status.getPath().getName().partition("=")
+            done = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if prefix == name and (not written or files.exists(done)):
+                found.append(int(number))
+        return sorted(found, reverse=True)
+
     def _folder(self, generation: int, batch_id: int) -> str:
         return f"{self.path}/generation={generation}/batch_id={batch_id}"
 
@@ -113,14 +144,12 @@ class KeyedTable:
 
         One that has only its base may still be being written.
         """
-        schema = T.StructType(
-            [T.StructField("generation", T.LongType()), T.StructField("batch_id", T.LongType())]
-        )
-        batches = self.spark.read.schema(schema).parquet(self.path)
-        started = batches.filter(F.col("batch_id") >= F.col("generation") * self.span)
-        if below is not None:
-            started = started.filter(F.col("generation") < below)
-        return started.agg(F.max("generation")).first()[0] or 0
+        for generation in self._numbers(self.path, "generation"):
+            if below is None or generation < below:
+                batches = self._numbers(f"{self.path}/generation={generation}", "batch_id", written=True)
+                if batches and batches[0] >= generation * self.span:
+                    return generation
+        return 0
 
     def _start_generation(self, batch_id: int) -> None:
         """Write the base of the batch's generation unless batches follow it already."""
