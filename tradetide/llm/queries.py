@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradetide.llm import bpe, chat, embeddings, main_text, mixing, quality, repeats, secret_scan, sharding, simhash
+from tradetide.llm.oracle import ORACLE  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,7 +78,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {
-    "op7_sharding": sharding.placed_sql(),
-    "op8_chat": chat.report_sql(),
-}
