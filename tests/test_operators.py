@@ -1,5 +1,6 @@
 """Hand-written rows for every batch operator."""
 
+import pytest
 from conftest import payments, plan, rows, slim
 from pyspark.sql import functions as F
 
@@ -223,6 +224,26 @@ def test_bucketed_tables_match_without_a_shuffle(spark, tmp_path):
         spark.sql("drop table if exists bucketed_orders")
 
 
+def test_one_order_at_one_instant_is_spread_over_many_windows(spark):
+    """A third of all payments are one order's, at one time; some are equal in everything."""
+    hot = "case when id % 3 = 0 then 7 else id end as order_id"
+    p = spark.range(0, 30_000, 1, 4).selectExpr(
+        hot, "cast(case when id % 3 = 0 then id % 997 / 4.0D else 1.5D end as double) as pay_amount",
+        "cast(null as smallint) as pay_source", "cast(0 as smallint) as pay_platform",
+        "1704067200000 as create_time")
+    running = aggregates.running_minute_trade(p)
+    got = running.orderBy("running_trade", "order_id").collect()
+    assert len(got) == 30_000
+    total, want = 0.0, sorted((r.order_id, r.pay_amount) for r in p.collect())
+    sums = []
+    for _, amount in want:
+        total += amount
+        sums.append(total)
+    assert sorted(r.running_trade for r in got) == pytest.approx(sorted(sums), abs=1e-6)
+    parts = p.filter("order_id = 7").selectExpr("floor(pay_amount)").distinct().count()
+    assert parts > 200 and "part" in running._jdf.queryExecution().toString()
+
+
 def test_hot_minute_is_spread_over_many_windows(spark):
     """All payments fall into one minute: no window may hold a whole minute."""
     p = spark.range(0, 60_000, 1, 8).selectExpr(

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradetide import schemas as S
-from tradetide.functions import exact_sum, minute_bucket, result_key, terminal_name
+from tradetide.functions import exact_sum, minute_bucket, result_key, terminal_name, to_money
 from tradetide.operators.filters import valid_terminals
 from tradetide.operators.windows import running_sum
 
+COPIES = 4096  # equal payments are expanded in pieces of this many
+
 
 def minute_trade_by_platform(matched: DataFrame) -> DataFrame:
     """Turnover per trading platform and minute, from matched payments."""
@@ -28,27 +30,40 @@ def minute_trade_by_terminal(payments: DataFrame) -> DataFrame:
 
 
 def running_minute_trade(payments: DataFrame) -> DataFrame:
-    """Each payment with its minute's running total for its terminal."""
-    rows = valid_terminals(payments).select(
-        "pay_platform",
-        minute_bucket("create_time").alias("minute"),
-        "create_time",
-        "order_id",
-        "pay_source",
-        "pay_amount",
-        (F.col("order_id") - F.pmod("order_id", F.lit(4096))).alias("order_range"),
+    """Each payment with its minute's running total for its terminal.
+
+    Tiers go down to an order's payments of one source and one range of amounts at one
+    instant.  Payments equal in everything are one row with a count until their totals
+    are known.  So no window depends on one minute, one instant or one order.
+    """
+    columns = ["pay_platform", "minute", "create_time", "order_id", "pay_source", "pay_amount"]
+    rows = (
+        valid_terminals(payments)
+        .withColumn("minute", minute_bucket("create_time"))
+        .groupBy(*columns)
+        .agg(F.count("*").alias("copies"))
+        .withColumns({
+            "order_range": F.col("order_id") - F.pmod("order_id", F.lit(4096)),
+            "part": F.struct(
+                "order_id", F.coalesce("pay_source", F.lit(-32768)), F.floor("pay_amount")),
+            "together": F.col("pay_amount") * F.col("copies"),
+        })
     )
     summed = running_sum(
         rows,
-        value="pay_amount",
+        value="together",
         group=["pay_platform", "minute"],
-        tiers=["create_time", "order_range"],
-        order=["order_id", "pay_source", "pay_amount"],
+        tiers=["create_time", "order_range", "part"],
+        order=["pay_amount"],
         total="running_trade",
     )
-    return summed.drop("order_range").withColumn(
-        "running_trade", F.col("running_trade").cast("double")
-    )
+    # Of equal payments the first have their fellows' amounts still before them.
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(COPIES).cast("bigint")))
+    inside = F.explode(F.sequence(
+        F.col("chunk"), F.least(F.col("copies"), F.col("chunk") + COPIES) - 1))
+    each = summed.withColumn("chunk", chunk).withColumn("i", inside)
+    ahead = to_money("pay_amount") * (F.col("copies") - 1 - F.col("i")).cast("decimal(10,0)")
+    return each.select(*columns, (F.col("running_trade") - ahead).cast("double").alias("running_trade"))
 
 
 def minute_bounds(series: DataFrame, *group: str) -> DataFrame:
