@@ -13,7 +13,7 @@ from tradetide.sources import envelopes, fixtures
 from tradetide.streaming.keyed_matching import stream_match_keyed
 from tradetide.streaming.matching import MatchState
 from tradetide.streaming.minute_trade import stream_minute_trade
-from tradetide.streaming.reports import RatioJob, TurnoverJob, periodic_report, state_rows
+from tradetide.streaming.reports import RatioJob, TurnoverJob, backlog, periodic_report, state_rows
 
 
 def batch(spark, pays=(), orders=()):
@@ -171,6 +171,23 @@ def test_both_reports_end_where_the_batch_ends(spark, topics, batch_answer, tmp_
     assert metrics["pending_payments"] == batch_answer["pending"]
 
 
+def test_timed_triggers_publish_until_stopped(spark, topics, batch_answer, tmp_path):
+    """Both jobs run at an interval, as they do for good, and take in what comes."""
+    source = envelopes.stream_topics(spark, topics, max_files=3)
+    turnover, ratio = periodic_report(source, str(tmp_path), processingTime="1 second")
+    running = list(spark.streams.active)
+    try:
+        assert len(running) >= 3
+        for query in running:
+            query.processAllAvailable()
+        assert all(backlog(q).get("numFilesOutstanding", 0) == 0 for q in running)
+        assert rows(turnover.results.current()) == batch_answer["turnover"]
+        assert rows(ratio.results.current()) == batch_answer["ratio"]
+    finally:
+        for query in running:
+            query.stop()
+
+
 def test_restart_after_some_batches(spark, sf, batch_answer, tmp_path):
     """Stop with half of the messages, restart on all: same answer, nothing twice."""
     path = str(tmp_path / "topics")

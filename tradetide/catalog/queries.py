@@ -350,17 +350,21 @@ def _turnover_expected(spark, sf):
 
 @query(name="reconcile")
 def reconcile_turnover(spark: SparkSession, sf: str) -> DataFrame:
-    actual = reports.turnover(_payments(spark, sf), _orders(spark, sf))
-    return reconcile.reconcile(_turnover_expected(spark, sf), actual)
+    """Against what was published: each expected key is looked up in the result table."""
+    expected = _turnover_expected(spark, sf)
+    published = _turnover_table(spark, sf).lookup(expected.select("key"))
+    return reconcile.reconcile(expected, published)
 
 
 @query
 def reconcile_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    """Published by a job that counted matched payments only."""
+    """Looked up in what a job published that counted matched payments only."""
     payments = _payments(spark, sf)
     expected = reports.ratios(payments).withColumnRenamed("value", "expected")
     matched = joins.orders_seen(payments, _orders(spark, sf))
-    return reconcile.reconcile_ratio(expected, reports.ratios(matched))
+    table = result_table(spark, work_dir(spark, "ratios"))
+    table.upsert(reports.ratios(matched), 0)
+    return reconcile.reconcile_ratio(expected, table.lookup(expected.select("key")))
 
 
 # ------------------------------------------------------------ aggregations
