@@ -45,14 +45,12 @@ def in_parts(weights: DataFrame, parts: int = PARTS) -> DataFrame:
     ``of`` is ``parts``, or four times the number of sources if that is more.
     Each source has one part at least.
     """
-    total = weights.agg(
-        F.sum("weight").alias("sum"), F.greatest(F.lit(parts), 4 * F.count("*")).cast("long").alias("of"),
-        F.count("*").alias("sources"))
-    # One row per source on one side and one row on the other.
-    shares = weights.join(F.broadcast(total)).withColumn(
-        "share", F.col("weight") / F.col("sum") * (F.col("of") - F.col("sources")))
+    total = weights.agg(F.sum("weight").alias("sum"), F.count("*").alias("sources")).first()
+    of, sources = max(parts, 4 * total["sources"]), total["sources"]
+    shares = weights.withColumn("of", F.lit(of).cast("long")).withColumn(
+        "share", F.col("weight") / F.lit(total["sum"]).cast("double") * (of - sources))
     shares = shares.withColumn("whole", F.floor("share"))
-    rest = F.col("of") - F.col("sources") - F.sum("whole").over(Window.partitionBy("of"))
+    rest = of - sources - F.sum("whole").over(Window.partitionBy("of"))
     rank = F.row_number().over(Window.partitionBy("of").orderBy(
         F.desc(F.col("share") - F.col("whole")), F.col("source").asc_nulls_first()))
     return shares.select(
