@@ -163,3 +163,13 @@ def open_orders(payments: DataFrame, slim: DataFrame) -> DataFrame:
 def order_total_check(payments: DataFrame, slim: DataFrame) -> DataFrame:
     """Orders whose payments do not add up to the total exactly."""
     return order_balances(payments, slim).filter("paid <> total_price")
+
+
+def ratio_join(mobile: DataFrame, pc: DataFrame) -> DataFrame:
+    """Two separate cumulative series at equal minutes; minutes of one only drop out.
+
+    Where both come out of one series, ``series.ratio_join`` reads that once.
+    """
+    return mobile.select("minute", F.col("cum_trade").alias("mobile_trade")).join(
+        pc.select("minute", F.col("cum_trade").alias("pc_trade")), "minute"
+    )
