@@ -135,6 +135,31 @@ def test_embeddings_equal_brute_force(spark, sf, monkeypatch):
     assert embeddings.classes(docs.limit(0)).count() == 0
 
 
+def link_counts(unit):
+    """Links of each vector at cosine 0.95, and the smallest and largest cosine's distance from it."""
+    cosines = unit @ unit.T
+    np.fill_diagonal(cosines, 0)
+    return (cosines >= 0.95).sum(1), np.abs(cosines - 0.95).min()
+
+
+@pytest.mark.parametrize("jitter", [1e-4, 1e-5, 1e-6, 1e-7])
+def test_tight_clusters_with_several_pivots(spark, jitter):
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+    tight = centre + jitter * rng.standard_normal((300, 64))
+    side = rng.standard_normal((300, 64))
+    side -= np.outer(side @ centre, centre)
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9505, 0.97, (300, 1))
+    vectors = np.concatenate([tight, cosine * centre + np.sqrt(1 - cosine ** 2) * side])
+    want, margin = link_counts(vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+    assert margin > 1e-12
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.classes(frame).collect()}
+    assert [got[i] for i in range(len(want))] == want.tolist()
+
+
 def test_fragments_bound_a_task_and_find_the_same(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/embeddings.parquet")
     whole = sorted(map(tuple, embeddings.classes(docs).collect()))

@@ -38,6 +38,7 @@ from tradetide.llm.components import components, stored
 LEAST_COSINE = 0.95
 BLOCK_DIMENSIONS = 8
 PIVOTS = 16
+CLOSEST = 1e-3  # pivots of a block that are closer than this count as one
 HOMES, GUESTS, STRIP, PAIRS = 4096, 16384, 512, 50_000
 SLACK = 1e-5  # distances in single precision are only used to choose candidates
 SEED = 7
@@ -80,26 +81,40 @@ def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
 
 
+def spread(pivots: np.ndarray) -> np.ndarray:
+    """The pivots without those that are closer than ``CLOSEST`` to one before them: the
+    border test divides by the distance of two pivots."""
+    kept = []
+    for i in range(len(pivots)):
+        if (((pivots[kept] - pivots[i]) ** 2).sum(1) >= CLOSEST ** 2).all():
+            kept.append(i)
+    return pivots[kept]
+
+
 def placed(points: DataFrame, pivots: np.ndarray, limit: float) -> DataFrame:
-    """Each point in its home cell and, as a guest, in all cells in range: block, cell, home."""
+    """Each point in its home cell and, as a guest, in all cells in range: block, cell, home.
+
+    Distances are direct differences in double precision: rounding moves the border test by
+    less than 1e-15 / ``CLOSEST``, which ``SLACK`` covers.
+    """
     dimensions = pivots.shape[1]
     by, blocks = rotation(dimensions), block_edges(dimensions)
     kind = points.schema["v"].dataType.simpleString()
-    turned_pivots = turned(pivots, by)
+    turned_pivots = turned(pivots, by).astype(np.float64)
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = turned(matrix(batch.column(2), dimensions), by)
+            x = turned(matrix(batch.column(2), dimensions), by).astype(np.float64)
             for number, (a, b) in enumerate(blocks):
                 reach = np.sqrt(limit * (b - a) / dimensions) + SLACK
-                p = turned_pivots[:, a:b]
-                distance = np.maximum(squares(x[:, a:b], p), 0)
+                p = spread(turned_pivots[:, a:b])
+                distance = ((x[:, None, a:b] - p) ** 2).sum(2)
                 home = distance.argmin(axis=1)
-                between = np.sqrt(np.maximum(squares(p, p), 1e-12))
+                between = np.sqrt(((p[:, None] - p) ** 2).sum(2))
                 nearest = distance[np.arange(len(x)), home]
-                guest = (distance - nearest[:, None]) / (2 * between[home]) <= reach
+                guest = distance - nearest[:, None] <= 2 * reach * between[home]
                 guest[np.arange(len(x)), home] = True
                 row, cell = np.nonzero(guest)
                 for is_home, rows, cells in ((1, np.arange(len(x)), home), (0, row, cell)):
