@@ -160,6 +160,28 @@ def test_tight_clusters_with_several_pivots(spark, jitter):
     assert [got[i] for i in range(len(want))] == want.tolist()
 
 
+def test_a_pair_at_the_edge_of_a_share_counts_once(spark):
+    # Pairs in one direction of block 0 and one of block 1, their distance in block 0 within
+    # 3e-8 of its share: single precision decides some of them either way.
+    rng = np.random.default_rng(5)
+    by = embeddings.rotation(64).astype(np.float64)
+    share = 0.1 / 8 + embeddings.SLACK
+    pairs = []
+    for i in range(400):
+        base = rng.standard_normal(64)
+        apart = np.zeros(64)
+        apart[0], apart[9] = np.sqrt(share + rng.uniform(-3e-8, 3e-8)), 0.05
+        base[[0, 9]] = -apart[[0, 9]] / 2
+        rest = np.setdiff1d(np.arange(64), [0, 9])
+        base[rest] *= np.sqrt((1 - (base[[0, 9]] ** 2).sum()) / (base[rest] ** 2).sum())
+        pairs += [base @ by.T, (base + apart) @ by.T]
+    vectors = np.array(pairs)
+    want, margin = link_counts(vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+    assert margin > 1e-12 and (want == 1).all()
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id bigint, embedding array<double>")
+    assert all(r.n_links == 1 for r in embeddings.classes(frame).collect())
+
+
 def test_fragments_bound_a_task_and_find_the_same(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/embeddings.parquet")
     whole = sorted(map(tuple, embeddings.classes(docs).collect()))

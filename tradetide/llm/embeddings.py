@@ -8,7 +8,9 @@ block is range-joined under its share: points go to the cell of their nearest
 pivot, and as guests to every cell whose border they are within range of, so that
 all pairs in range meet in the cell of the one with the smaller id.  Pairs in range
 are verified by their cosine in double precision over the whole vectors; a pair
-that several blocks find counts for the first of them.
+that several blocks find counts for the first of them.  Whether a block finds a pair
+is decided by ``within`` alone, in every task, on coordinates that are computed once
+per point and stored: its result for two points is the same wherever it is taken.
 
 Equal vectors are one point with a multiplicity.  A task compares at most
 ``HOMES`` points with ``GUESTS``; larger cells are cut into that many fragments on
@@ -28,6 +30,8 @@ rows link with each other.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,7 +44,7 @@ BLOCK_DIMENSIONS = 8
 PIVOTS = 16
 CLOSEST = 1e-3  # pivots of a block that are closer than this count as one
 HOMES, GUESTS, STRIP, PAIRS = 4096, 16384, 512, 50_000
-SLACK = 1e-5  # distances in single precision are only used to choose candidates
+SLACK = 1e-5  # of a block's share, and of candidates by single precision over the share
 SEED = 7
 
 
@@ -91,25 +95,56 @@ def spread(pivots: np.ndarray) -> np.ndarray:
     return pivots[kept]
 
 
+def within(x: np.ndarray, one: np.ndarray, two: np.ndarray, block: tuple[int, int], share: float) -> np.ndarray:
+    """Whether points ``one`` and ``two`` of x (double precision) are within a block's share.
+    Adding coordinate by coordinate gives the same bits whatever the number of points."""
+    total = np.zeros(len(one))
+    for k in range(*block):
+        apart = x[one, k] - x[two, k]
+        total += apart * apart
+    return total <= share
+
+
+def shares(blocks: list[tuple[int, int]], limit: float) -> list[float]:
+    return [limit * (b - a) / blocks[-1][1] + SLACK for a, b in blocks]
+
+
+def with_turned(points: DataFrame, dimensions: int) -> DataFrame:
+    """cid, copies, v and ``x``, the turned vector."""
+    by, kind = rotation(dimensions), points.schema["v"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = turned(matrix(batch.column(2), dimensions), by)
+                ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * dimensions)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(i) for i in range(3)], pa.ListArray.from_arrays(ends, pa.array(x.ravel()))],
+                    names=["cid", "copies", "v", "x"])
+
+    return points.select("cid", "copies", "v").mapInArrow(
+        run, f"cid bigint, copies bigint, v {kind}, x array<float>")
+
+
 def placed(points: DataFrame, pivots: np.ndarray, limit: float) -> DataFrame:
-    """Each point in its home cell and, as a guest, in all cells in range: block, cell, home.
+    """Each point (with ``x``) in its home cell and, as a guest, in all cells in range: block,
+    cell, home.  ``pivots`` are turned vectors.
 
     Distances are direct differences in double precision: rounding moves the border test by
     less than 1e-15 / ``CLOSEST``, which ``SLACK`` covers.
     """
     dimensions = pivots.shape[1]
-    by, blocks = rotation(dimensions), block_edges(dimensions)
+    blocks = block_edges(dimensions)
+    ranges = [math.sqrt(share) + SLACK for share in shares(blocks, limit)]
     kind = points.schema["v"].dataType.simpleString()
-    turned_pivots = turned(pivots, by).astype(np.float64)
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = turned(matrix(batch.column(2), dimensions), by).astype(np.float64)
-            for number, (a, b) in enumerate(blocks):
-                reach = np.sqrt(limit * (b - a) / dimensions) + SLACK
-                p = spread(turned_pivots[:, a:b])
+            x = matrix(batch.column(3), dimensions).astype(np.float64)
+            for number, ((a, b), reach) in enumerate(zip(blocks, ranges)):
+                p = spread(pivots[:, a:b])
                 distance = ((x[:, None, a:b] - p) ** 2).sum(2)
                 home = distance.argmin(axis=1)
                 between = np.sqrt(((p[:, None] - p) ** 2).sum(2))
@@ -125,11 +160,11 @@ def placed(points: DataFrame, pivots: np.ndarray, limit: float) -> DataFrame:
                             pa.array(np.full(size, number, np.int32)),
                             pa.array(cells[at:at + 10_000].astype(np.int32)),
                             pa.array(np.full(size, is_home, np.int32)),
-                            *[batch.column(i).take(take) for i in range(3)],
-                        ], names=["block", "cell", "home", "cid", "copies", "v"])
+                            *[batch.column(i).take(take) for i in range(4)],
+                        ], names=["block", "cell", "home", "cid", "copies", "v", "x"])
 
-    return points.select("cid", "copies", "v").mapInArrow(
-        run, f"block int, cell int, home int, cid bigint, copies bigint, v {kind}")
+    return points.select("cid", "copies", "v", "x").mapInArrow(
+        run, f"block int, cell int, home int, cid bigint, copies bigint, v {kind}, x array<float>")
 
 
 def in_fragments(cells: DataFrame) -> DataFrame:
@@ -145,7 +180,7 @@ def in_fragments(cells: DataFrame) -> DataFrame:
     cells = cells.where("h > 0").withColumn("own", own).withColumn("other", F.explode(whole))
     return cells.select(
         "block", "cell", F.when(F.col("home") == 1, F.col("own")).otherwise(F.col("other")).alias("h"),
-        F.when(F.col("home") == 1, F.col("other")).otherwise(F.col("own")).alias("g"), "home", "cid", "copies", "v")
+        F.when(F.col("home") == 1, F.col("other")).otherwise(F.col("own")).alias("g"), "home", "cid", "copies", "v", "x")
 
 
 def forest(left: list[int], right: list[int], size: int) -> list[int]:
@@ -170,36 +205,38 @@ def forest(left: list[int], right: list[int], size: int) -> list[int]:
 def compared(fragments: DataFrame, dimensions: int, cosine: float) -> DataFrame:
     """For each fragment: rows (cid, links, other).  ``links`` counts linked vectors; ``other``
     is an end of a link of the forest."""
-    by, blocks, limit = rotation(dimensions), block_edges(dimensions), 2 - 2 * cosine
+    blocks = block_edges(dimensions)
+    share = shares(blocks, 2 - 2 * cosine)
 
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        shares = [limit * (b - a) / dimensions + SLACK for a, b in blocks]
         side = table.column("home").to_numpy()
         cid, copies = table.column("cid").to_numpy(), table.column("copies").to_numpy()
         exact = matrix(table.column("v"), dimensions).astype(np.float64)
         exact = exact / np.abs(exact).max(axis=1, keepdims=True)
         lengths = np.sqrt((exact * exact).sum(1))
-        x = turned(exact, by)
+        single = matrix(table.column("x"), dimensions)
+        x = single.astype(np.float64)
         homes, guests = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
         links = np.zeros(len(cid), np.int64)
         left, right = [], []
         a, b = blocks[block]
         for at in range(0, len(homes), STRIP):
             strip = homes[at:at + STRIP]
-            near = squares(x[strip, a:b], x[guests, a:b]) <= shares[block]
+            near = squares(single[strip, a:b], single[guests, a:b]) <= share[block] + SLACK
             near &= cid[strip][:, None] < cid[guests][None, :]
             i, j = np.nonzero(near)
             for part in range(0, len(i), PAIRS):
                 one, two = strip[i[part:part + PAIRS]], guests[j[part:part + PAIRS]]
+                here = within(x, one, two, blocks[block], share[block])
+                one, two = one[here], two[here]
                 same = np.einsum("ij,ij->i", exact[one], exact[two]) / (lengths[one] * lengths[two]) >= cosine
                 one, two = one[same], two[same]
                 # Found by an earlier block?
                 for k in range(block):
                     if not len(one):
                         break
-                    c, d = blocks[k]
-                    earlier = ((x[one, c:d] - x[two, c:d]) ** 2).sum(1) <= shares[k]
+                    earlier = within(x, one, two, blocks[k], share[k])
                     one, two = one[~earlier], two[~earlier]
                 np.add.at(links, one, copies[two])
                 np.add.at(links, two, copies[one])
@@ -219,8 +256,9 @@ def compared(fragments: DataFrame, dimensions: int, cosine: float) -> DataFrame:
 
 
 def near_points(points: DataFrame, dimensions: int, cosine: float) -> DataFrame:
-    chosen = points.orderBy(F.xxhash64("cid"), "cid").limit(PIVOTS).select("v").collect()
-    pivots = np.array([r["v"] for r in chosen], np.float64)
+    points = stored(with_turned(points, dimensions), "embedding-turned")
+    chosen = points.orderBy(F.xxhash64("cid"), "cid").limit(PIVOTS).select("x").collect()
+    pivots = np.array([r["x"] for r in chosen], np.float64)
     cells = stored(placed(points, pivots, 2 - 2 * cosine), "embedding-cells")
     return stored(compared(in_fragments(cells), dimensions, cosine), "embedding-links")
 
