@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from tradetide.llm import chat, embeddings, main_text, mixing, queries, sharding, simhash
+from tradetide.llm import chat, embeddings, main_text, mixing, near_copies, queries, sharding, simhash
 from tradetide.llm.components import components
 
 
@@ -339,6 +339,33 @@ def test_odd_pages(spark, trees):
 # ------------------------------------------------------------------ pipeline
 
 
+def five_words(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("part", [1_000, 7])
+def test_near_copies_of_five_word_shingles(spark, monkeypatch, part):
+    monkeypatch.setattr(near_copies, "PART_SETS", part)
+    rng = random.Random(11)
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(["", None, " ", "one two", "ONE two", "one three"])]
+    for _ in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 200]))]
+        for changes in (0, 1, 2, 3, 4, 5):
+            new = list(words)
+            for at in rng.sample(range(len(words)), changes):
+                new[at] = "x"
+            rows.append((len(rows), " ".join(new), "en", "a", 1))
+    rows += rows[:10]
+    sets = [five_words(t) for _, t, *_ in rows]
+    near = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2)
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert sum(len(sets[a] & sets[b]) < 0.9 * len(sets[a] | sets[b]) for a, b in near) > 50
+    want = sorted(rows[i][0] for i, root in roots(range(len(rows)), near).items() if i == root)
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, common.SCHEMA), "")
+    assert sorted(r.doc_id for r in got.collect()) == want
+
+
 def test_pipeline_stages(spark, sf, tmp_path):
     docs = common.sample(spark, sf)
     columns, before = docs.columns, None

@@ -153,8 +153,14 @@ def keep_one(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> Data
     """
     lean = docs.select(F.col(key).alias("key"), F.xxhash64("text").alias("digest"), "text")
     marked = stored(with_fingerprint(lean, keep_text=False), "simhash-marked")
-    row = F.struct(F.col("key").isNull().alias("none"), "key", "digest")
     best = with_component(marked, "key", radius).withColumn("group", F.col("component_id"))
+    return first_of_groups(docs, key, marked, best)
+
+
+def first_of_groups(docs: DataFrame, key: str, marked: DataFrame, best: DataFrame) -> DataFrame:
+    """The row of ``docs`` that stays of each group.  ``marked`` has key and digest of every
+    row, ``best`` also its fp and group."""
+    row = F.struct(F.col("key").isNull().alias("none"), "key", "digest")
     # A group all of whose keys are null has no name; its fingerprint stands in.
     winners = best.groupBy("group", F.when(F.col("group").isNull(), F.col("fp")).alias("of")).agg(
         F.min(row).alias("w"), F.count("*").alias("size")).select("w.key", "w.digest")
