@@ -164,6 +164,22 @@ def test_models_tell_held_out_keys_from_words(spark, sf):
     assert np.mean(np.array(ordinary) >= secret_scan.THRESHOLD) < 0.002
 
 
+def test_short_random_keys_are_found_and_ordinary_names_not(spark):
+    rng = np.random.default_rng(6)
+    alphabet = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    keys = ["".join(rng.choice(alphabet, n)) for n in range(12, 20) for _ in range(25)]
+    names = ["internationalization", "Donaudampfschiff", "default_config", "maxLineLength", "2024-01-31", "content-length"]
+    docs = spark.createDataFrame(
+        [(i, f"use <{k}> here", "en", "a", 1) for i, k in enumerate(keys)]
+        + [(1000 + i, f"use {n} here", "en", "a", 1) for i, n in enumerate(names)], common.SCHEMA)
+    spans = {r.doc_id: r.spans for r in secret_scan.findings(docs).collect()}
+    assert sum(spans[i] == f"markov:5:{5 + len(k)}" for i, k in enumerate(keys)) >= 0.97 * len(keys)
+    assert not any(spans[1000 + i] for i in range(len(names)))
+    model = secret_scan.train(secret_scan.labelled_samples(common.empty(spark).select("doc_id", "text")))
+    hidden = [r.text for r in secret_scan.redact(docs, model).where("doc_id < 1000").collect()]
+    assert sum(t == f"use <{secret_scan.MARK}> here" for t in hidden) >= 0.97 * len(keys)
+
+
 def test_redaction_replaces_findings_only(spark, secrets):
     docs = secrets
     model = secret_scan.train(secret_scan.labelled_samples(common.empty(spark).select("doc_id", "text")))

@@ -3,7 +3,9 @@
 The patterns give the base findings.  Further findings are runs of key
 characters (``RUN``) that a character Markov model of random strings explains
 better than one of ordinary identifiers, by a log-likelihood ratio of at least
-``THRESHOLD`` thousandths of a nat, and that touch no base finding.  Both models
+``THRESHOLD`` thousandths of a nat, and that touch no base finding.  Runs of fewer
+than ``SHORTEST_RUN`` characters are not scored: a key that short is found by the
+base patterns only.  Both models
 are trained from labelled samples: generated keys in the usual alphabets, and
 ordinary words, joined identifiers, numbers and dates.  The words are ``NAME_WORDS`` and
 at most ``SAMPLE_WORDS`` of at most ``SAMPLE_DOCUMENTS`` documents; that
@@ -30,7 +32,7 @@ from tradetide.llm.rows import packed, unpacked
 
 SAMPLE_DOCUMENTS, SAMPLE_WORDS, SAMPLE_KEYS = 2_000, 20_000, 20_000
 THRESHOLD = 12_000
-SHORTEST_RUN = 20
+SHORTEST_RUN = 12
 MARK = "[SECRET]"
 
 # Words that ordinary names are made of, whatever the corpus's language.
