@@ -6,11 +6,9 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from helpers import SF  # noqa: E402
 from tradetide.session import configure  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -28,29 +26,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def rows(frame):
-    """Rows as a sorted list of tuples, None first."""
-    return sorted(map(tuple, frame.collect()), key=lambda r: [(x is not None, x) for x in r])
-
-
-def plan(frame):
-    """The physical plan that actually ran."""
-    frame.collect()
-    text = frame._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
-
-
-PAYMENT = "order_id bigint, pay_amount double, pay_source smallint, pay_platform smallint, create_time bigint"
-SLIM = "order_id bigint, plat string, total_price double"
-
-
-def payments(spark, *items):
-    """Payments from (order id, amount, terminal, create time) tuples."""
-    data = [(o, float(a), i % 4, t, at) for i, (o, a, t, at) in enumerate(items)]
-    return spark.createDataFrame(data, PAYMENT)
-
-
-def slim(spark, *items):
-    return spark.createDataFrame([(o, p, float(t)) for o, p, t in items], SLIM)

@@ -1,7 +1,7 @@
 """Hand-written rows for every batch operator."""
 
 import pytest
-from conftest import payments, plan, rows, slim
+from helpers import payments, plan, rows, slim
 from pyspark.sql import functions as F
 
 from tradetide.operators import aggregates, filters, joins, reconcile, series

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tradetide.session import configure, work_dir
 from tradetide.sinks import messages

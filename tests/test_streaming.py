@@ -1,7 +1,7 @@
 """Streams must end where the batch jobs end, in whatever order rows come."""
 
 import pytest
-from conftest import payments, rows, slim
+from helpers import payments, rows, slim
 from pyspark.sql import functions as F
 
 from tradetide.operators import aggregates, joins
