@@ -113,10 +113,51 @@ select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id is not di
 from vectors join named using (rid) left join (select a as rid, count(*) as n from links group by a) using (rid)"""
 
 
+def audit_sql() -> str:
+    return f"""
+with {WORDS},
+marked as (
+    select d.rid, d.doc_id, coalesce(d.lang, '') as part,
+        len(ws) < 200 as a, 100 * len(list_distinct(ws)) < 50 * len(ws) as b,
+        100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) as c,
+        regexp_matches(t, '[#$%&*|]') as d,
+        exists (select 1 from docs o where o.t = d.t and o.doc_id < d.doc_id) as e
+    from split d),
+labelled as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+facts as (
+    select part, concat(case when a then 'A' end, case when b then 'B' end, case when c then 'C' end,
+            case when d then 'D' end, case when e then 'E' end) as failing,
+        coalesce(good, false) as good, coalesce(toxic, false) as toxic
+    from marked left join labelled using (doc_id)),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (
+    select a.l || b.l || c.l || d.l || e.l as filter_order
+    from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+combos as (select part, failing, length(failing) as many, good, toxic, count(*) as n from facts group by all),
+steps as (
+    select filter_order, step::int as step, substr(filter_order, step, 1) as own,
+        substr(filter_order, 1, step - 1) as before from orders, (select unnest(range(1, 6)) as step)),
+tried as (
+    select *, contains(failing, own) as f,
+        len(list_filter(string_split(failing, ''), lambda x: x <> '' and contains(before, x))) > 0 as gone
+    from combos, steps)
+select part, filter_order, step,
+    sum(case when not f and not gone then n else 0 end)::bigint as kept,
+    sum(case when f and not gone then n else 0 end)::bigint as removed,
+    sum(case when f and gone then n else 0 end)::bigint as redundant,
+    sum(case when failing = own then n else 0 end)::bigint as unique_fails,
+    sum(case when f and not gone and good then n else 0 end)::bigint as good_lost,
+    sum(case when f and not gone and toxic then n else 0 end)::bigint as toxic_lost,
+    sum(case when f then n * (120 // many) else 0 end)::bigint as shapley
+from tried group by all"""
+
+
 ORACLE = {
     "op4_embeddings": embeddings_sql(),
     "op5_repeats": repeats_sql(),
     "op7_sharding": sharding.placed_sql(),
     "op8_chat": chat.report_sql(),
     "op10_quality": quality_sql(),
+    "op11_filter_audit": audit_sql(),
 }
