@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from tradetide.llm import chat, embeddings, quality, repeats, sharding
+from tradetide.llm import chat, embeddings, quality, repeats, sharding, spelling
 
 # Rows get a number of their own: ids may be null or occur more than once.
 WORDS = r"""docs as (
@@ -153,6 +153,46 @@ select part, filter_order, step,
 from tried group by all"""
 
 
+def spelling_sql() -> str:
+    """Near words meet by the pattern a replaced letter leaves, or by one word less a letter."""
+    return f"""
+with recursive {sharding.crc32_table()},
+texts as (
+    select row_number() over () as rid, coalesce(doc_id::varchar, '') as id,
+        unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as run from documents),
+runs as (
+    select id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+    from texts group by all),
+drawn as (select run, n, {sharding.crc32_sql("id || ':' || run")} as h from runs, crc),
+cut as (
+    select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+        else run end as word, n from drawn),
+words as (
+    select word, sum(n)::bigint as n from cut where length(word) >= {spelling.LEAST_LETTERS}
+    group by word having sum(n) >= {spelling.LEAST_COUNT}),
+places as (select word, n, unnest(range(1, length(word) + 1)) as i from words),
+patterns as (select word, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) as p from places),
+less as (select distinct word, substr(word, 1, i - 1) || substr(word, i + 1) as p from places),
+near as (
+    select a.word, b.word as other from patterns a join patterns b using (p) where a.word <> b.word
+    union all select l.word, l.p from less l join words w on w.word = l.p
+    union all select l.p, l.word from less l join words w on w.word = l.p),
+ranked as (
+    select r.word, r.other, o.n as other_n, count(*) over (partition by r.word) as n_near,
+        row_number() over (partition by r.word order by o.n desc, r.other) as place
+    from near r join words o on o.word = r.other),
+forms as (
+    select w.word, w.n, coalesce(n_near, 0)::bigint as n_near,
+        case when other_n >= {spelling.TIMES} * w.n then other end as form,
+        case when other_n >= {spelling.TIMES} * w.n then other_n end as form_n
+    from words w left join ranked r on r.word = w.word and place = 1),
+ways as (
+    select word, word as last from forms
+    union all select w.word, f.form from ways w join forms f on f.word = w.last where f.form is not null),
+roots as (select w.word, w.last as root from ways w join forms f on f.word = w.last where f.form is null)
+select word, form, root, n, n_near, form_n from forms join roots using (word)"""
+
+
 ORACLE = {
     "op4_embeddings": embeddings_sql(),
     "op5_repeats": repeats_sql(),
@@ -160,4 +200,5 @@ ORACLE = {
     "op8_chat": chat.report_sql(),
     "op10_quality": quality_sql(),
     "op11_filter_audit": audit_sql(),
+    "op12_spelling": spelling_sql(),
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradetide.llm import bpe, chat, embeddings, filter_audit, main_text, mixing, quality, repeats, secret_scan, sharding, simhash
+from tradetide.llm import bpe, chat, embeddings, filter_audit, main_text, mixing, quality, repeats, secret_scan, sharding, simhash, spelling
 from tradetide.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -70,6 +70,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
@@ -82,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
     "op11_filter_audit": op11_filter_audit,
+    "op12_spelling": op12_spelling,
 }

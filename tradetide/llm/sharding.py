@@ -117,6 +117,23 @@ def placed(docs: DataFrame, shards: list[Shard] | None = None) -> DataFrame:
         F.col("slot").cast("long").alias("slot"), "grown_shard")
 
 
+def crc32_table() -> str:
+    """DuckDB has no CRC-32: the usual table, as the one row of ``crc``."""
+    steps = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        steps.append(value)
+    return f"crc as (select {steps}::bigint[] as steps)"
+
+
+def crc32_sql(text: str) -> str:
+    """The CRC-32 of a text as a fold over its bytes; ``steps`` is the table's column."""
+    byte_list = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::bigint)"
+    return (f"xor(list_reduce([4294967295::bigint] || {byte_list}, "
+            f"lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295)")
+
+
 def placed_sql() -> str:
     """The same for eight shards in DuckDB's SQL, written from the topology."""
     def descent(shards: list[Shard]) -> str:
@@ -142,23 +159,14 @@ def placed_sql() -> str:
         return pick(regions)
 
     shards = topology()
-    # DuckDB has no CRC-32: a fold over the text's bytes with the usual table.
-    steps = []
-    for value in range(256):
-        for _ in range(8):
-            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
-        steps.append(value)
-    byte_list = "list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::bigint)"
-    crc = (f"xor(list_reduce([4294967295::bigint] || {byte_list}, "
-           f"lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295)")
     return f"""
-    with crc as (select {steps}::bigint[] as steps),
+    with {crc32_table()},
     rows as (
         select doc_id, strlen(coalesce(text, ''))::bigint + 1 as size, coalesce(text, '') as t,
                coalesce(doc_id::varchar, '') as k, steps
         from documents, crc),
     placed as (
-        select doc_id, size, {crc} as text_crc32, 'key' as law,
+        select doc_id, size, {crc32_sql("t")} as text_crc32, 'key' as law,
                ({descent(shards)})::integer as shard, ({descent(grown(shards))})::integer as grown_shard,
                md5(k) as digest
         from rows)
