@@ -15,8 +15,8 @@ have which set:
 4. Only these counts, 32 numbers by part and labels, are opened over the steps.
 
 Hot texts: the inner side of the self-join has one row per text, combined before
-its shuffle; the outer side is split by adaptive execution, which exchanges of
-its own allow (a constant among the keys).  Texts that occur once never move as
+its shuffle, and is dealt to one part for every ``COPIES_PER_PART`` copies;
+the outer side's rows go to one of these parts each.  Texts that occur once never move as
 long as the hashes that occur again are few enough for Spark to broadcast.
 
 Defined results: a null text is empty; a null language is the part ``''``; rows
@@ -45,6 +45,7 @@ BIT = {letter: 1 << i for i, letter in enumerate(LETTERS)}
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_CAPITALS_PERCENT = 200, 50, 3
 CAPITALS, SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
 ORDERS = ["".join(p) for p in permutations(LETTERS)]
+COPIES_PER_PART = 500
 COUNTED = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
 
 
@@ -79,14 +80,18 @@ def failures(docs: DataFrame) -> DataFrame:
 def copies(docs: DataFrame, facts: DataFrame) -> DataFrame:
     """doc_id, part and hash of the rows whose exact text a smaller id has too."""
     several = stored(
-        facts.groupBy("hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .where("least < most").select("hash"), "audit-hashes")
-    rows = hashed(docs).where("doc_id is not null").join(several, "hash", "left_semi")
-    smallest = rows.groupBy("hash", "text").agg(F.min("doc_id").alias("least")).withColumn("zero", F.lit(0))
-    apart = rows.select("doc_id", "part", "hash", "text", F.lit(0).alias("zero"))
-    return apart.alias("d").join(smallest.alias("s"), [
-        F.col("d.hash") == F.col("s.hash"), F.col("d.text") == F.col("s.text"), F.col("d.zero") == F.col("s.zero"),
-        F.col("s.least") < F.col("d.doc_id")], "left_semi").select("doc_id", "part", "hash")
+        facts.groupBy("hash").agg(
+            F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
+            F.ceil(F.count("*") / COPIES_PER_PART).alias("parts"))
+        .where("least < most").select("hash", "parts"), "audit-hashes")
+    rows = hashed(docs).where("doc_id is not null").join(several, "hash")
+    smallest = rows.groupBy("hash", "text").agg(F.min("doc_id").alias("least"), F.max("parts").alias("parts"))
+    smallest = smallest.withColumn("part_of", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    rows = rows.withColumn("part_of", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    return rows.alias("d").join(smallest.alias("s"), [
+        F.col("d.hash") == F.col("s.hash"), F.col("d.part_of") == F.col("s.part_of"),
+        F.col("d.text") == F.col("s.text"), F.col("s.least") < F.col("d.doc_id")],
+        "left_semi").select("doc_id", "part", "hash")
 
 
 def combinations(docs: DataFrame, labels: DataFrame) -> DataFrame:
