@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradetide.llm import bpe, chat, embeddings, filter_audit, main_text, mixing, quality, repeats, secret_scan, sharding, simhash, spelling
+from tradetide.llm import (
+    bpe, chat, embeddings, filter_audit, language_id, main_text, mixing, quality, repeats, secret_scan, sharding, simhash,
+    spelling)
 from tradetide.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -74,6 +76,19 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def piece_vocabulary(path: str | None = None) -> list[bytes]:
+    """The pieces of the production vocabulary, from a path or from the installed ones."""
+    if path is None:
+        import public_tokenizers
+
+        path = os.environ.get("LANGUAGE_PIECES") or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return language_id.read_pieces(path)
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(table(spark, sf_dir, "documents"), piece_vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
@@ -87,4 +102,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_filter_audit": op11_filter_audit,
     "op12_spelling": op12_spelling,
+    "op13_language": op13_language,
 }
