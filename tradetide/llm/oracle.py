@@ -24,16 +24,14 @@ covered as (
 
 
 def quality_sql() -> str:
-    bins = f"case when v > 0 then ceil(ln(v) / {math.log(quality.GAMMA)!r})::bigint + 10000 else 0 end"
     values = " union all ".join(
-        f"select rid, lang, source, '{m}' as measure,"
-        f" case when n_words >= {least} then {ratio.replace(' / ', '::double / ')} else 0.0 end as v, {margin}::double as margin"
-        " from counted" for m, (ratio, least, margin) in quality.MEASURES.items())
+        f"select rid, lang, source, base_failed, '{m}' as measure, {i} as nr, {str(both).lower()} as both_ways,"
+        f" case when n_words >= {least} then {value} end as v from based"
+        for i, (m, (value, least, both)) in enumerate(quality.MEASURES.items()))
 
     def quantile(q: float) -> str:
         reached = f"min(bin) filter (up_to >= ceil(rows * {q}))"
-        return (f"case when {reached} > 0 then pow({quality.GAMMA}, {reached} - 10000) * {2 / (quality.GAMMA + 1)!r}"
-                " else 0.0 end")
+        return f"pow({quality.GAMMA}, {reached}) * {2 / (quality.GAMMA + 1)!r}"
 
     return f"""
 with {WORDS},
@@ -41,41 +39,47 @@ with {WORDS},
 lines as (
     select rid, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) as ls
     from docs),
+times as (select rid, w, count(*) as n from (select rid, unnest(ws) as w from split) group by all),
+tops as (select rid, count(*) as n_distinct, max(n) as n_top from times group by rid),
 counted as (
     select s.rid, doc_id, lang, source, len(ws)::bigint as n_words,
         coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::bigint as word_chars,
         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
         (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
-        coalesce(r.n, 0)::bigint as n_repeat_words, len(ls)::bigint as n_lines
-    from split s join lines using (rid)
+        coalesce(r.n, 0)::bigint as n_repeat_words, len(ls)::bigint as n_lines,
+        (length(t) - length(regexp_replace(t, '[!-/:-@\\[-`{{-~]', '', 'g')))::bigint as n_marks,
+        coalesce(n_distinct, 0)::bigint as n_distinct, coalesce(n_top, 0)::bigint as n_top
+    from split s join lines using (rid) left join tops on tops.rid = s.rid
     left join (select rid, count(*) as n from covered group by rid) r on r.rid = s.rid),
+based as (
+    select *, n_words < {quality.LEAST_WORDS}
+        or 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words as base_failed from counted),
 measured as ({values}),
 levels as (
-    select measure, margin, {bins} as bin, level, case when level >= 1 then lang end as l,
-        case when level = 2 then source end as s
-    from measured, (select unnest([0, 1, 2]) as level)),
-sketch as (select measure, margin, bin, level, l, s, count(*) as n from levels group by all),
+    select measure, ceil(ln(v) / {math.log(quality.GAMMA)!r})::bigint as bin, level,
+        case when level >= 1 then lang end as l, case when level = 2 then source end as s
+    from measured, (select unnest([0, 1, 2]) as level) where v > 0 and not base_failed),
+sketch as (select measure, bin, level, l, s, count(*) as n from levels group by all),
 ranked as (
     select *, sum(n) over (partition by measure, level, l, s order by bin) as up_to,
         sum(n) over (partition by measure, level, l, s) as rows from sketch),
 quartiles as (
-    select measure, margin, level, l, s, max(rows) as rows, {quantile(0.25)} as low, {quantile(0.75)} as high
-    from ranked group by measure, margin, level, l, s),
-limits as (select *, high + {quality.QUARTILE_DISTANCES} * (high - low) + margin as most from quartiles),
-above as (
-    select m.rid, m.measure, m.v > arg_max(f.most, f.level) as above
-    from measured m join limits f on f.measure = m.measure
+    select measure, level, l, s, max(rows) as rows, {quantile(0.25)} as low, {quantile(0.75)} as high
+    from ranked group by measure, level, l, s having max(rows) >= {quality.LEAST_ROWS}),
+reaches as (
+    select *, {quality.DISTANCES}::double * greatest(high - low, {quality.LEAST_SPREAD}::double * high) as reach
+    from quartiles),
+beyond as (
+    select m.rid, m.measure, m.nr, m.v > arg_max(f.high + f.reach, f.level)
+        or (m.both_ways and m.v < arg_max(f.low - f.reach, f.level)) as beyond
+    from measured m join reaches f on f.measure = m.measure
         and f.l is not distinct from case when f.level >= 1 then m.lang end
         and f.s is not distinct from case when f.level = 2 then m.source end
-        and (f.level = 0 or f.rows >= {quality.LEAST_ROWS})
-    group by m.rid, m.measure, m.v),
-judged as (select rid, bool_or(above) as above from above group by rid),
-based as (
-    select *, n_words < {quality.LEAST_WORDS}
-        or 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words as base_failed from counted)
+    group by m.rid, m.measure, m.nr, m.v, m.both_ways),
+judged as (select rid, string_agg(measure, ',' order by nr) as failed from beyond where beyond group by rid)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    not base_failed and not above as kept, n_lines
-from based join judged using (rid)"""
+    not base_failed and failed is null as kept, n_lines, n_marks, n_distinct, n_top, coalesce(failed, '') as failed
+from based left join judged using (rid)"""
 
 
 def repeats_sql() -> str:
