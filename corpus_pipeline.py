@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradetide.llm import bpe, mixing, near_copies, quality, secret_scan
+from tradetide.llm import bpe, mixing, quality, secret_scan, simhash
 from tradetide.llm.queries import table, tokenizer_definition
 from tradetide.session import work_dir
 
@@ -22,8 +22,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup by five-word shingles: one document of each group of similarity 0.8 stays."""
-    return near_copies.keep_one(docs)
+    """SimHash near-dedup with the operator's own shingles and distance: one document of each group stays."""
+    return simhash.keep_one(docs)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
