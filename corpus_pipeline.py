@@ -44,7 +44,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", drop_poor),
-    ("near duplicates", drop_near_copies),
+    ("SimHash near duplicates", drop_near_copies),
     ("secrets", hide_secrets),
     ("mixing", mix_sources),
     ("tokens", encode_tokens),
