@@ -11,9 +11,10 @@ import common
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradetide.llm import chat, embeddings, main_text, mixing, near_copies, queries, sharding, simhash
+from tradetide.llm import chat, embeddings, main_text, mixing, quality, queries, sharding, simhash
 from tradetide.llm.components import components
 
 
@@ -339,31 +340,85 @@ def test_odd_pages(spark, trees):
 # ------------------------------------------------------------------ pipeline
 
 
-def five_words(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-@pytest.mark.parametrize("part", [1_000, 7])
-def test_near_copies_of_five_word_shingles(spark, monkeypatch, part):
-    monkeypatch.setattr(near_copies, "PART_SETS", part)
-    rng = random.Random(11)
-    rows = [(i, t, "en", "a", 1) for i, t in enumerate(["", None, " ", "one two", "ONE two", "one three"])]
-    for _ in range(60):
-        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 200]))]
-        for changes in (0, 1, 2, 3, 4, 5):
-            new = list(words)
-            for at in rng.sample(range(len(words)), changes):
-                new[at] = "x"
-            rows.append((len(rows), " ".join(new), "en", "a", 1))
-    rows += rows[:10]
-    sets = [five_words(t) for _, t, *_ in rows]
-    near = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2)
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    assert sum(len(sets[a] & sets[b]) < 0.9 * len(sets[a] | sets[b]) for a, b in near) > 50
-    want = sorted(rows[i][0] for i, root in roots(range(len(rows)), near).items() if i == root)
-    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, common.SCHEMA), "")
-    assert sorted(r.doc_id for r in got.collect()) == want
+PLANTED_TEXT = "Der Hafen lag still, und die Boote schaukelten leise im Wind; niemand sprach ein Wort an jenem Abend. "
+
+
+def planted_documents():
+    """Odd rows, junk, and texts with copies, near copies, secrets and clean ones, under clashing columns."""
+    rng = random.Random(21)
+    rows = list(common.ODD)
+    for i in range(40):
+        words = [rng.choice(["hand", "wort", "Stein", "licht", "wasser", "grün", "weit", "Tür,", "auf", "zu", "über"])
+                 + rng.choice("abcdefgh") for _ in range(120)]
+        rows.append((100 + 3 * i, " ".join(words), "de", f"s{i % 3}", 1))
+        if i % 4 == 0:
+            rows.append((101 + 3 * i, " ".join(words), "de", "s9", 1))
+        if i % 5 == 0:
+            rows.append((102 + 3 * i, " ".join(words) + " password: hunter2secret", "de", "s1", 1))
+    rows += [(300, "### $$$ %%% &&& " * 30, "de", "s0", 1), (301, "no", "de", "s0", 1), (302, PLANTED_TEXT * 2, None, None, 1)]
+    return rows
+
+
+def test_pipeline_stages_equal_brute_force(spark, sf, tmp_path):
+    """Each stage against plain Python over its own input."""
+    docs = spark.createDataFrame(planted_documents(), common.SCHEMA)
+    for name in common.CLASHING:
+        docs = docs.withColumn(name, F.lit("x"))
+    stages = dict(corpus_pipeline.STAGES)
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "SimHash near duplicates", "secrets", "mixing", "tokens"]
+
+    def after(name, frame):
+        stages[name](spark, frame, sf).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    def key(r):
+        return r.doc_id, r.text, r.lang, r.source
+
+    # Quality: the verdicts of the rules, row by row.
+    good = after("quality rules", docs)
+    verdict = {}
+    for r in quality.verdicts(docs).collect():
+        verdict.setdefault((r.doc_id, r.n_words), r.kept)
+    want = Counter(key(r) for r in docs.collect() if verdict[r.doc_id, len((r.text or "").encode().split())])
+    assert Counter(map(key, good.collect())) == want and 300 not in {k[0] for k in want}
+
+    # Near duplicates: the smallest id of each group of fingerprints within two bits.
+    apart = after("SimHash near duplicates", good)
+    rows = good.collect()
+    prints = [slow_fingerprint(r.text or "") for r in rows]
+    group = roots(set(prints), [(a, b) for a, b in itertools.combinations(set(prints), 2) if (a ^ b).bit_count() <= 2])
+    least = {}
+    for r, fp in zip(rows, prints):
+        least[group[fp]] = min(least.get(group[fp], (True, 0)), (r.doc_id is None, r.doc_id or 0))
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in apart.collect()) == sorted(least.values())
+    assert len(least) < len(rows)
+
+    # Secrets: nothing of a finding is left, all else is as it was.
+    clean = after("secrets", apart)
+    before = {r.doc_id: r for r in apart.collect()}
+    got = clean.collect()
+    assert {r.doc_id for r in got} == set(before) and any("hunter2secret" in r.text for r in before.values())
+    for r in got:
+        assert "hunter2secret" not in r.text and r.n_chars == len(r.text)
+        if "password" not in before[r.doc_id].text:
+            assert r.text == before[r.doc_id].text
+
+    # Mixing: the same rows, in the order of the report's positions.
+    mix = after("mixing", clean)
+    position = {r.doc_id: r.position for r in mixing.mix_report(clean).collect()}
+    order = [r.doc_id for r in stages["mixing"](spark, clean, sf).collect()]
+    assert order == sorted(order, key=position.get) and Counter(map(key, mix.collect())) == Counter(map(key, got))
+
+    # Tokens: the library's ids.
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_str(queries.tokenizer_definition())
+    tokens = after("tokens", mix)
+    texts = {r.doc_id: r.text for r in got}
+    for r in tokens.collect():
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.n_tokens == len(ids)
+    assert tokens.count() == len(got)
 
 
 def test_pipeline_stages(spark, sf, tmp_path):
