@@ -65,7 +65,7 @@ def test_catch_up_continues_after_its_checkpoint(spark, tmp_path):
     topics, copy, checkpoint = (str(tmp_path / x) for x in ("t", "c", "k"))
     for count in (1, 2):
         messages.publish(wire(spark, ("pay", PAY)), topics)
-        envelopes.catch_up(envelopes.stream_topics(spark, topics, max_files=1), copy, checkpoint)
+        envelopes.catch_up(envelopes.stream_topics(spark, topics, max_bytes=1), copy, checkpoint)
         assert spark.read.parquet(copy).count() == count
 
 

@@ -316,6 +316,10 @@ ORACLE = {
     "stream_minute_trade": _with("select * from terminal", *_T),
     "stream_match": _with(_MATCHED_SUMS, *_M),
     "stream_match_keyed": _with(_MATCHED_SUMS, *_M),
+    "stream_match_backlog": _with(_MATCHED_SUMS, *_M),
+    "reconcile_job": _with(
+        f"""select key, expected, actual, abs_error from compared
+  union all select {_RATIO_KEY}, ratio, ratio, 0.0 from ratios""", *_C, TERMINAL, DENSE),
     "periodic_report": _with(
         f"select key, value from turnover union all select {_RATIO_KEY}, ratio from ratios",
         *_U, TERMINAL, DENSE),
@@ -326,7 +330,12 @@ ORACLE = {
   union all select 'pending_payments', count(*) from payments
     where order_id not in (select order_id from slim)
   union all select 'pending_orders', count(distinct order_id) from payments
-    where order_id not in (select order_id from slim)""", *_B),
+    where order_id not in (select order_id from slim)
+  union all select 'orders_held', count(*) from slim
+  union all select 'pending_minutes_held', count(distinct (order_id, create_time // 60000)) from payments
+    where order_id not in (select order_id from slim)
+  union all select 'input_rows', (select count(*) from slim) + (select count(*) from payments) + 3
+  union all select 'backlog_files', 0""", *_B),
     # sinks
     "upsert_results": _with("select * from turnover", *_U),
     "lookup_results": _with("select key, actual as value from compared", *_C),

@@ -20,7 +20,8 @@ TOTAL = "decimal(37,6)"  # a running total of those
 LIMIT = 1e15  # above, a double no longer holds hundredths
 
 
-def _parts(amount: Column | str) -> tuple[Column, Column]:
+def money_parts(amount: Column | str) -> tuple[Column, Column]:
+    """An amount as whole units and millionths, both integers."""
     amount = F.col(amount) if isinstance(amount, str) else amount
     outside = amount.isNotNull() & ~(F.abs(amount) < LIMIT)
     whole = F.when(
@@ -29,17 +30,18 @@ def _parts(amount: Column | str) -> tuple[Column, Column]:
     return whole, F.floor((amount - whole) * 1_000_000 + 0.5)
 
 
-def _joined(whole: Column, millionths: Column) -> Column:
+def money_of(whole: Column, millionths: Column) -> Column:
+    """Units and millionths, or sums of them, as exact money."""
     rest = millionths.cast("decimal(19,0)") * F.lit(Decimal("0.000001"))
     return (whole.cast("decimal(25,6)") + rest).cast(MONEY)
 
 
 def exact_sum(amount: Column | str) -> Column:
     """Sum of a double column as exact money; null over no values."""
-    whole, millionths = _parts(amount)
-    return _joined(F.sum(whole), F.sum(millionths))
+    whole, millionths = money_parts(amount)
+    return money_of(F.sum(whole), F.sum(millionths))
 
 
 def to_money(amount: Column | str) -> Column:
     """One double as exact money, to the millionth."""
-    return _joined(*_parts(amount))
+    return money_of(*money_parts(amount))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What a job should run with.  AQE coalesces small shuffle partitions and
 # splits skewed ones, so the partition count only has to be large enough.
@@ -19,6 +18,7 @@ SETTINGS = {
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE_PARTITIONS = "tradetide.statePartitions"
 
 
 SHUFFLE_TARGET = 128 * 1024 * 1024
@@ -40,32 +40,34 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
     return spark
 
 
-@contextmanager
-def setting(spark: SparkSession, name: str, value: str):
-    """Hold one session setting for the length of a block."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def stateful(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of its own for stateful queries.
 
+    The number of state partitions is fixed for good by a query's first start and is
+    not adapted later: set it for the state the job will hold one day, whatever the
+    cluster it starts on.  Streams of a job are read in this session.
+    """
+    if state_partitions < 1:
+        raise ValueError("a stateful query needs at least one state partition")
+    own = spark.newSession()
+    for name, value in SETTINGS.items():
+        own.conf.set(name, value)
+    own.conf.set(STATE_PROVIDER, ROCKSDB)
+    own.conf.set(STATE_PARTITIONS, state_partitions)
+    own.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    return own
+
+
+def checked_state_session(stream: DataFrame) -> SparkSession:
+    """The stream's session, if it is one of ``stateful``."""
+    spark = stream.sparkSession
+    if spark.conf.get(STATE_PARTITIONS, None) is None:
+        raise ValueError("read the stream in a session of session.stateful, which fixes the state partitions")
+    return spark
 
-@contextmanager
-def stream_settings(spark: SparkSession, state_partitions: int | None = None):
-    """Settings a stateful query takes over when it starts.
 
-    The number of state partitions is fixed by a query's first start and is not
-    adapted later.  Set ``state_partitions`` for the state the job will hold one
-    day; the default, the cores at first start, is only right for a fixed cluster.
-    """
-    partitions = str(state_partitions or spark.sparkContext.defaultParallelism)
-    with setting(spark, STATE_PROVIDER, ROCKSDB):
-        with setting(spark, "spark.sql.shuffle.partitions", partitions):
-            yield
+def state_partitions_of(spark: SparkSession) -> int:
+    return int(spark.conf.get(STATE_PARTITIONS))
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

@@ -1,190 +1,279 @@
-"""Matching payments with orders on a stream.
-
-Which side comes first is unknown.  ``matched_stream`` joins both in Spark's state
-store and is what the jobs use.
-
-``MatchState`` is for taking in a backlog in a few large batches: each batch is
-joined with what the batches before it left over, payments without an order and
-orders, and rewrites that.  There ``keep_settled=False`` evicts settled orders;
-their later payments then stay pending, so the result depends on the batches.
-
-All work is ordinary DataFrame operators.  Payments are summed per order and
-minute before they are shuffled, so an order with a third of all payments costs
-a few rows per task, and the state it can leave behind is bounded by its
-distinct minutes.  The state lives in two alternating folders; a batch reads
-the one its predecessor wrote and overwrites the other, which makes a replayed
-batch harmless and needs no deletes.
+"""Matching payments with orders on a stream, whichever side comes first.
+
+State is kept per group of orders, a hash of the order id, through
+``transformWithState``: an order with what was paid on it, and what waits for an
+order, summed per minute.  A payment leaves the state when it is matched, so what
+is held are the open orders and pending payments and, unless settled orders are
+evicted, those.  A micro-batch reads and writes the groups its rows belong to, each
+as one value of arrays: with ``groups`` in proportion to the orders held, a group
+holds a few hundred and a batch costs what its own rows cost.
+
+Amounts are whole units and millionths as integers throughout, so that no result
+depends on the order rows arrive in.  Each task sums its payments per order,
+minute and terminal, one Arrow batch at a time, before they are shuffled: an order
+with a third of all payments reaches its group as sums, bounded by its minutes.
+
+Which order counts: copies of an order are alike and count once.  Should two unlike
+orders share an id, the one of the earlier micro-batch counts, and within one the
+smaller by platform and total, as in batch; only for such ids does the result
+depend on the cut.
+
+The operator passes on what else a report needs, so that one scan and one parse of
+the messages feed everything: ``kind`` is ``matched``, ``terminal`` (what the batch
+adds to each terminal's minutes, matched or not) or ``rejected``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from decimal import Decimal
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, GroupedData, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tradetide import schemas as S
 from tradetide.functions import exact_sum, minute_bucket
-from tradetide.functions.money import MONEY
-from tradetide.operators.filters import of_type
-from tradetide.operators.joins import (
-    JOIN_KEYS,
-    chosen_order,
-    platform_totals,
-    with_order_group,
+from tradetide.functions.money import money_of, money_parts
+from tradetide.operators.joins import pending_payments, unique_orders
+from tradetide.session import checked_state_session, state_partitions_of
+
+# Groups for each state partition where a job doesn't say: small jobs.
+GROUPS_PER_PARTITION = 64
+
+KEYS = ["part", "kind", "order_id", "plat", "total_price", "minute", "pay_platform"]
+SUMS = ["whole", "millionths", "payments"]
+REJECT = ["topic", "body", "reason"]
+COMBINED = (
+    "part int, kind string, order_id bigint, plat string, total_price double, minute bigint,"
+    " pay_platform smallint, whole bigint, millionths bigint, payments bigint,"
+    " topic string, body binary, reason string"
+)
+OUT = (
+    "kind string, order_id bigint, plat string, minute bigint, pay_platform smallint,"
+    " whole bigint, millionths bigint, payments bigint, topic string, body binary, reason string"
+)
+# Orders (id, platform, total, millionths paid) and waiting minutes (id, minute, millionths,
+# payments) of a group, and how many orders and payments it has seen.  Totals may exceed a long.
+STATE = (
+    "orders bigint, payments bigint, order_id array<bigint>, plat array<string>, total_price array<double>,"
+    " paid array<decimal(38,0)>, late_id array<bigint>, minute array<bigint>,"
+    " waiting array<decimal(38,0)>, waiting_payments array<bigint>"
 )
-from tradetide.session import stream_settings
+STATE_NAMES = [
+    "orders", "payments", "order_id", "plat", "total_price", "paid", "late_id", "minute", "waiting", "waiting_payments"]
+MILLION = 1_000_000
 
-SALTS = 8
 
-PAYMENT_STATE = (
-    "order_id bigint, plat string, minute bigint, pay_amount double, payments bigint,"
-    " status string"
-)
-ORDER_STATE = "order_id bigint, plat string, total_price double, paid double"
+def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum the payments of each Arrow batch; copies of an order collapse, rejects pass."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rejected = pc.equal(table["kind"], "rejected")
+        rest = table.filter(pc.invert(rejected))
+        summed = rest.group_by(KEYS).aggregate([(name, "sum") for name in SUMS])
+        summed = summed.select([*KEYS, *[f"{name}_sum" for name in SUMS]]).rename_columns([*KEYS, *SUMS])
+        for name in REJECT:
+            summed = summed.append_column(name, pa.nulls(len(summed), table.schema.field(name).type))
+        whole = pa.concat_tables([summed, table.filter(rejected).select([*KEYS, *SUMS, *REJECT])])
+        yield from whole.combine_chunks().to_batches()
 
 
-class MatchState:
-    """What matching carries from one micro-batch to the next."""
+class Matcher(StatefulProcessor):
+    """Orders and waiting payments of one group."""
 
-    def __init__(self, spark: SparkSession, path: str, keep_settled: bool = True):
-        """Without ``keep_settled`` settled orders are evicted, and a payment that
-        comes after settlement stays pending.
-        """
-        self.spark = spark
-        self.path = path.rstrip("/")
+    def __init__(self, keep_settled: bool):
         self.keep_settled = keep_settled
 
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.path}/{kind}/slot={batch_id % 2}"
-
-    def _payments(self, batch_id: int, status: str) -> DataFrame:
-        if batch_id < 0:
-            return self.spark.createDataFrame([], PAYMENT_STATE)
-        rows = self.spark.read.schema(PAYMENT_STATE).parquet(self._folder("payments", batch_id))
-        return rows.filter(F.col("status") == status)
-
-    def matched(self, batch_id: int) -> DataFrame:
-        """Payments the last batch matched, summed per order and minute."""
-        return self._payments(batch_id, "matched")
-
-    def pending(self, batch_id: int) -> DataFrame:
-        """Payments without an order after the last batch."""
-        return self._payments(batch_id, "pending")
-
-    def orders(self, batch_id: int) -> DataFrame:
-        """Orders in state after the last batch, with the amount paid so far."""
-        if batch_id < 0:
-            return self.spark.createDataFrame([], ORDER_STATE)
-        return self.spark.read.schema(ORDER_STATE).parquet(self._folder("orders", batch_id))
-
-    def advance(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        """Take in one batch of tagged messages; returns what it matched."""
-        orders = self._known_orders(messages, batch_id).persist()
-        try:
-            self._join(self._sum_payments(messages, batch_id), orders, batch_id)
-            matched = self.matched(batch_id)
-            self._settle(orders, matched, batch_id)
-        finally:
-            orders.unpersist()
-        return matched
-
-    def _join(self, paid: DataFrame, orders: DataFrame, batch_id: int) -> None:
-        plat = with_order_group(orders).select(*JOIN_KEYS, "plat")
-        status = F.when(F.col("plat").isNull(), "pending").otherwise("matched")
-        (
-            with_order_group(paid)
-            .join(plat, JOIN_KEYS, "left")
-            .select("order_id", "plat", "minute", "pay_amount", "payments", status.alias("status"))
-            .write.mode("overwrite")
-            .partitionBy("status")
-            .parquet(self._folder("payments", batch_id))
-        )
-
-    def _sum_payments(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        new = of_type(messages, "pay").select(
-            "order_id",
-            minute_bucket("create_time").alias("minute"),
-            "pay_amount",
-            F.lit(1).cast("bigint").alias("payments"),
-        )
-        waiting = self.pending(batch_id - 1).select(*new.columns)
-        return (
-            new.unionByName(waiting)
-            .groupBy("order_id", "minute")
-            .agg(
-                exact_sum("pay_amount").cast("double").alias("pay_amount"),
-                F.sum("payments").alias("payments"),
-            )
-        )
-
-    def _known_orders(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        """New orders and those in state; a redelivered order keeps what was paid."""
-        new = of_type(messages, "order").select(
-            "order_id", "plat", "total_price", F.lit(0.0).alias("paid")
-        )
-        return (
-            new.unionByName(self.orders(batch_id - 1))
-            .groupBy("order_id")
-            .agg(*platform_totals(), F.max("paid").alias("paid"))
-            .select("order_id", *chosen_order(), "paid")
-        )
-
-    def _settle(self, orders: DataFrame, matched: DataFrame, batch_id: int) -> None:
-        newly = matched.groupBy("order_id").agg(exact_sum("pay_amount").alias("newly"))
-        paid = F.col("paid").cast(MONEY) + F.coalesce("newly", F.lit(0).cast(MONEY))
-        state = orders.join(newly, "order_id", "left").select(
-            "order_id", "plat", "total_price", paid.cast("double").alias("paid")
-        )
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", STATE)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.held.update(tuple(initialState[name] for name in STATE_NAMES))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.held.get()
+        seen, paid_for, orders, waiting = self._opened(held)
+        arrived, paid, terminals = {}, {}, {}
+        for row in rows:
+            if row.kind == "rejected":
+                yield _out("rejected", topic=row.topic, body=row.body, reason=row.reason)
+            elif row.kind == "order":
+                offer = (row.plat != S.PLAT_TB, row.total_price, row.plat)
+                arrived[row.order_id] = min(offer, arrived.get(row.order_id, offer))
+            else:
+                amount = row.whole * MILLION + row.millionths
+                _add(paid, (row.order_id, row.minute), amount, row.payments)
+                if row.pay_platform in (S.TERMINAL_PC, S.TERMINAL_MOBILE):
+                    _add(terminals, (row.pay_platform, row.minute), amount, row.payments)
+                paid_for += row.payments
+        for (terminal, minute), (amount, n) in terminals.items():
+            yield _out("terminal", pay_platform=terminal, minute=minute, amount=amount, payments=n)
+        for order_id, (_, total, plat) in arrived.items():
+            if order_id not in orders:
+                seen += 1
+                orders[order_id] = [plat, total, 0]
+                for minute, (amount, n) in waiting.pop(order_id, {}).items():
+                    _add(paid, (order_id, minute), amount, n)
+        touched = set(arrived)
+        for (order_id, minute), (amount, n) in paid.items():
+            order = orders.get(order_id)
+            if order is None:
+                _add(waiting.setdefault(order_id, {}), minute, amount, n)
+            else:
+                order[2] += amount
+                touched.add(order_id)
+                yield _out("matched", order_id=order_id, plat=order[0], minute=minute, amount=amount, payments=n)
         if not self.keep_settled:
-            distance = F.abs(F.col("total_price") - F.col("paid"))
-            state = state.filter(distance > S.SETTLED_TOLERANCE)
-        state.write.mode("overwrite").parquet(self._folder("orders", batch_id))
-
-
-def matched_stream(messages: DataFrame) -> DataFrame:
-    """Every payment of a stream whose order arrives, whichever comes first.
-
-    Payments and orders are joined in Spark's state store, so a micro-batch costs
-    what its own rows cost, however much the state holds.  An order stays, and a
-    payment after settlement matches like any other: what is matched doesn't depend
-    on how the stream is cut.  Copies of an order count once; should two orders
-    share an id, the first one counts.
-
-    A payment goes to one of ``SALTS`` parts by its content and an order to all of
-    them, so that one order's payments don't end in one state partition.
+            for order_id in touched:
+                if abs(orders[order_id][1] - orders[order_id][2] / MILLION) <= S.SETTLED_TOLERANCE:
+                    del orders[order_id]
+        self._close(seen, paid_for, orders, waiting)
+
+    def _opened(self, held):
+        """State as the number of orders and payments seen, orders by id and waiting minutes by id."""
+        orders, waiting = {}, {}
+        if held is None:
+            return 0, 0, orders, waiting
+        seen, paid_for, ids, plats, totals, paid, late, minutes, amounts, counts = held
+        for order_id, plat, total, amount in zip(ids, plats, totals, paid):
+            orders[order_id] = [plat, total, int(amount)]
+        for order_id, minute, amount, n in zip(late, minutes, amounts, counts):
+            waiting.setdefault(order_id, {})[minute] = (int(amount), n)
+        return seen, paid_for, orders, waiting
+
+    def _close(self, seen, paid_for, orders, waiting) -> None:
+        late = [(i, m, a, n) for i, minutes in waiting.items() for m, (a, n) in minutes.items()]
+        plats, totals, paid = zip(*orders.values()) if orders else ((), (), ())
+        ids, minutes, amounts, counts = zip(*late) if late else ((), (), (), ())
+        self.held.update((
+            seen, paid_for, list(orders), list(plats), list(totals), _decimals(paid),
+            list(ids), list(minutes), _decimals(amounts), list(counts)))
+
+    def close(self) -> None:
+        pass
+
+
+def _decimals(amounts):
+    return [Decimal(a) for a in amounts]
+
+
+def _add(sums: dict, key, amount: int, n: int) -> None:
+    before = sums.get(key, (0, 0))
+    sums[key] = (before[0] + amount, before[1] + n)
+
+
+def _out(kind, order_id=None, plat=None, minute=None, pay_platform=None, amount=None, payments=None,
+         topic=None, body=None, reason=None) -> Row:
+    whole, millionths = (None, None) if amount is None else divmod(amount, MILLION)
+    return Row(
+        kind=kind, order_id=order_id, plat=plat, minute=minute, pay_platform=pay_platform, whole=whole,
+        millionths=millionths, payments=payments, topic=topic, body=body, reason=reason)
+
+
+def part_of(key: Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")
+
+
+def tagged_stream(
+    messages: DataFrame, groups: int | None = None, keep_settled: bool = True, backlog: GroupedData | None = None
+) -> DataFrame:
+    """Tagged messages to ``kind`` rows: what they match, add to terminals, and rejects.
+
+    ``messages`` are those of ``decode_messages`` or ``classify``, read in a session of
+    ``session.stateful``.  ``groups`` is fixed for good by the first start, as the number
+    of state partitions is.  Without ``keep_settled`` an order leaves the state when it is
+    paid in full; its later payments then wait for good, so the result depends on the cut.
+    ``backlog`` is the state to start from (``backlog_state``); later starts ignore it.
     """
-    orders = (
-        of_type(messages, "order")
-        .select("order_id", "plat", "total_price")
-        .dropna(subset=["order_id", "total_price"])
-        .dropDuplicates(["order_id"])
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    salt = F.pmod(F.xxhash64("create_time", "pay_source", "pay_amount"), F.lit(SALTS)).cast("int")
-    paid = of_type(messages, "pay").select(
-        "order_id", minute_bucket("create_time").alias("minute"), "pay_amount", salt.alias("salt")
-    )
-    return paid.join(orders, ["order_id", "salt"]).select(
-        "order_id", "plat", "minute", "pay_amount", "total_price"
-    )
-
-
-def held(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, DataFrame]:
-    """Payments and orders in the state of a ``matched_stream`` query."""
-
-    def side(name: str) -> DataFrame:
-        state = spark.read.format("statestore").option("joinSide", name).load(checkpoint)
-        return state.select("value.*")
-
-    orders = side("right").filter("salt = 0")
-    return side("left").select("order_id", "minute", "pay_amount"), orders.select(
-        "order_id", "plat", "total_price"
-    )
-
-
-def stream_match(
-    messages: DataFrame, path: str, state_partitions: int | None = None, **trigger
-) -> StreamingQuery:
+    spark = checked_state_session(messages)
+    groups = groups or GROUPS_PER_PARTITION * state_partitions_of(spark)
+    whole, millionths = money_parts("pay_amount")
+    pay = F.col("type") == "pay"
+    lacking = [F.lit(None).cast(t).alias(c) for c, t in (("topic", "string"), ("body", "binary"), ("reason", "string"))
+               if c not in messages.columns]
+    rows = messages.select("*", *lacking).filter(
+        (F.col("type") == "rejected") | (F.col("order_id").isNotNull() & (pay | F.col("total_price").isNotNull())))
+    slim = rows.select(
+        part_of(F.coalesce("order_id", F.xxhash64("body")), groups).alias("part"),
+        F.col("type").alias("kind"), "order_id", "plat", "total_price",
+        F.when(pay, minute_bucket("create_time")).alias("minute"),
+        F.when(pay, F.col("pay_platform")).cast("smallint").alias("pay_platform"),
+        whole.alias("whole"), millionths.alias("millionths"),
+        F.when(pay, 1).cast("bigint").alias("payments"), *REJECT)
+    more = {} if backlog is None else {"initialState": backlog}
+    out = slim.mapInArrow(combine, COMBINED).groupBy("part").transformWithState(
+        Matcher(keep_settled), OUT, "Append", "None", **more)
+    amount = money_of(F.col("whole"), F.col("millionths"))
+    return out.select(
+        "kind", "order_id", "plat", "minute", "pay_platform", amount.alias("pay_amount"), "payments", *REJECT)
+
+
+def matched_stream(messages: DataFrame, **options) -> DataFrame:
+    """Every payment of a stream whose order arrives, summed per order and minute of a batch."""
+    matched = tagged_stream(messages, **options).filter("kind = 'matched'")
+    return matched.select("order_id", "plat", "minute", "pay_amount", "payments")
+
+
+def backlog_state(payments: DataFrame, orders: DataFrame, groups: int, keep_settled: bool = True) -> GroupedData:
+    """What a batch job leaves over, as the state a stream starts from.
+
+    The batch takes in all of ``payments`` and ``orders`` (``match_payments`` gives what
+    it matched); the stream goes on with the rest, with the same ``groups``.
+    """
+    def millionths(amount):
+        return (amount * MILLION).cast("decimal(38,0)")
+
+    known = unique_orders(orders)
+    paid = payments.groupBy("order_id").agg(exact_sum("pay_amount").alias("paid"))
+    every = known.join(paid, "order_id", "left")
+    if not keep_settled:
+        so_far = F.coalesce(F.col("paid").cast("double"), F.lit(0.0))
+        every = every.filter(F.abs(F.col("total_price") - so_far) > S.SETTLED_TOLERANCE)
+    part = part_of(F.col("order_id"), groups)
+    nothing = F.lit(0).cast("decimal(38,0)")
+    held = every.groupBy(part.alias("part")).agg(F.collect_list(F.struct(
+        "order_id", "plat", "total_price", F.coalesce(millionths(F.col("paid")), nothing).alias("paid"))).alias("o"))
+    late = pending_payments(payments, orders).groupBy(
+        "order_id", minute_bucket("create_time").alias("minute")).agg(
+        millionths(exact_sum("pay_amount")).alias("waiting"), F.count("*").alias("n"))
+    waits = late.groupBy(part.alias("part")).agg(
+        F.collect_list(F.struct("order_id", "minute", "waiting", "n")).alias("w"))
+    seen = known.groupBy(part.alias("part")).agg(F.count("*").alias("orders"))
+    pays = payments.groupBy(part.alias("part")).agg(F.count("*").alias("payments"))
+    none = F.lit(0).cast("bigint")
+
+    def listed(column: str, field: str, kind: str) -> Column:
+        return F.coalesce(F.col(f"{column}.{field}"), F.array().cast(f"array<{kind}>"))
+
+    whole = held
+    for other in (waits, seen, pays):
+        whole = whole.join(other, "part", "full")
+    return whole.select(
+        "part", F.coalesce("orders", none).alias("orders"), F.coalesce("payments", none).alias("payments"),
+        listed("o", "order_id", "bigint").alias("order_id"), listed("o", "plat", "string").alias("plat"),
+        listed("o", "total_price", "double").alias("total_price"), listed("o", "paid", "decimal(38,0)").alias("paid"),
+        listed("w", "order_id", "bigint").alias("late_id"), listed("w", "minute", "bigint").alias("minute"),
+        listed("w", "waiting", "decimal(38,0)").alias("waiting"),
+        listed("w", "n", "bigint").alias("waiting_payments")).groupBy("part")
+
+
+def held(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders, waiting minutes and numbers seen in the state of a ``tagged_stream`` query."""
+    state = (
+        spark.read.format("statestore").option("stateVarName", "held").load(checkpoint).select("value.*"))
+    paid = (F.col("e.paid") / MILLION).cast("double").alias("paid")
+    orders = state.select(F.explode(F.arrays_zip("order_id", "plat", "total_price", "paid")).alias("e")).select(
+        "e.order_id", "e.plat", "e.total_price", paid)
+    late = state.select(F.explode(F.arrays_zip("late_id", "minute", "waiting", "waiting_payments")).alias("e")).select(
+        F.col("e.late_id").alias("order_id"), "e.minute", (F.col("e.waiting") / MILLION).cast("double").alias("pay_amount"),
+        F.col("e.waiting_payments").alias("payments"))
+    return orders, late, state.select("orders", "payments")
+
+
+def stream_match(messages: DataFrame, path: str, trigger: dict | None = None, **options) -> StreamingQuery:
     """Write matched payments, summed per order and minute, batch by batch.
 
     Each micro-batch owns the folder ``matched/batch_id=N`` below ``path``.
@@ -192,16 +281,12 @@ def stream_match(
     path = path.rstrip("/")
 
     def process(matched: DataFrame, batch_id: int) -> None:
-        summed = matched.groupBy("order_id", "plat", "minute").agg(
-            exact_sum("pay_amount").cast("double").alias("pay_amount")
-        )
-        summed.write.mode("overwrite").parquet(f"{path}/matched/batch_id={batch_id}")
-
-    with stream_settings(messages.sparkSession, state_partitions):
-        return (
-            matched_stream(messages)
-            .writeStream.foreachBatch(process)
-            .option("checkpointLocation", f"{path}/checkpoint")
-            .trigger(**(trigger or {"availableNow": True}))
-            .start()
-        )
+        matched.write.mode("overwrite").parquet(f"{path}/matched/batch_id={batch_id}")
+
+    return (
+        matched_stream(messages, **options)
+        .writeStream.foreachBatch(process)
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

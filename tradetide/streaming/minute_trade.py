@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradetide.functions import exact_sum
 from tradetide.operators.aggregates import minute_trade_by_terminal
 from tradetide.operators.filters import valid_terminals
+from tradetide.session import checked_state_session
 
 
 def stream_minute_trade(payments: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -16,7 +17,11 @@ def stream_minute_trade(payments: DataFrame, watermark: str | None = None) -> Da
     Without a watermark late payments are always counted and state stays at one
     row per terminal and minute.  With one, minutes older than the watermark
     are dropped from state and payments later than that are lost.
+
+    The stream is read in a session of ``session.stateful``, which fixes the state partitions.
     """
+    if payments.isStreaming:
+        checked_state_session(payments)
     if watermark is None:
         return minute_trade_by_terminal(payments)
     timed = valid_terminals(payments).withColumn("ts", F.timestamp_millis("create_time"))
