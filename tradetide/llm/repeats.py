@@ -21,7 +21,8 @@ hashes only decide where pieces begin.
 Hot keys: a passage that a third of all documents share is one row per document
 and piece, combined before the shuffle where counted, and split by adaptive
 execution where joined (each join has exchanges of its own).  Nothing collects
-a group but the spans of one document, which its length bounds.
+a group but the spans of one document, which its length bounds: rows equal in id
+and text give each span once, however many they are.
 
 Defined results: null and empty texts have no words; fewer words than a window
 are kept whole; rows with the same id are documents of their own, and equal
@@ -203,7 +204,7 @@ def classified(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> D
 def edges(rows: DataFrame, opened: DataFrame, window: int = WINDOW) -> DataFrame:
     """The edges of opened pieces, with the digest of their words."""
     asked = opened.groupBy("doc_id", "row_key").agg(
-        F.collect_list(F.struct("start", "n", "weight")).alias("spans"))
+        F.collect_set(F.struct("start", "n", "weight")).alias("spans"))
     schema = T._parse_datatype_string(EDGES.format(id=id_type(rows)))
     names = schema.names
 
@@ -247,7 +248,7 @@ def covered(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
 def cleaned(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, ``text`` (the kept words joined by single spaces), n_words and n_removed."""
     spans = covered(docs, window, anchor).groupBy("doc_id", "row_key").agg(
-        F.collect_list(F.struct("start", "n")).alias("spans"))
+        F.collect_set(F.struct("start", "n")).alias("spans"))
     rows = on(keyed(docs), spans, ["doc_id", "row_key"], "left").select("doc_id", "text", "spans")
     schema = T._parse_datatype_string(
         f"doc_id {id_type(docs)}, text string, n_words bigint, n_removed bigint")
