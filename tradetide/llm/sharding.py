@@ -11,9 +11,11 @@ Everything is column expressions: no table is joined to find a shard.
 
 Defined results: the key alone decides the shard, so equal keys meet in one
 shard (law ``key``); a null key counts as the empty string.  A null text has
-size 1 and CRC 0.  Slots follow the key's digest and, for repeated keys, size
-and CRC; rows equal in all of these get consecutive slots, and a row that stands
-many times is expanded in bounded pieces.  An empty table gives an empty result.
+size 1 and CRC 0.  Slots follow a digest of key, size and CRC, so that numbering
+a key with very many rows is spread as well; rows equal in all of these get
+consecutive slots, and a row that stands many times is expanded in bounded pieces.
+Very long texts only pass through their size and CRC.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -107,7 +109,9 @@ def placed(docs: DataFrame, shards: list[Shard] | None = None) -> DataFrame:
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     alike = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
     alike = assign(assign(alike, "doc_id", shards), "doc_id", grown(shards), "grown_shard")
-    alike = alike.withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # Of the whole row: a key with very many rows is then spread over the buckets.
+    alike = alike.withColumn("digest", F.md5(F.concat_ws(
+        "|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "text_crc32")))
     bucket = F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") % 65536 * BUCKETS / 65536
     started = numbered(
         alike, ["shard"], F.floor(bucket).cast("int"),
@@ -168,9 +172,9 @@ def placed_sql() -> str:
     placed as (
         select doc_id, size, {crc32_sql("t")} as text_crc32, 'key' as law,
                ({descent(shards)})::integer as shard, ({descent(grown(shards))})::integer as grown_shard,
-               md5(k) as digest
+               k
         from rows)
     select doc_id, size, text_crc32, law, shard,
-           row_number() over (partition by shard order by digest, doc_id nulls first, size, text_crc32) - 1 as slot,
+           row_number() over (partition by shard order by md5(concat_ws('|', k, size, text_crc32)), doc_id nulls first, size, text_crc32) - 1 as slot,
            grown_shard
     from placed"""
