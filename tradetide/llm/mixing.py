@@ -14,7 +14,7 @@ the others go on in their own proportions, and positions stay gapless.
 
 Defined results: a null source is a source of its own; rows that are equal in
 key, source and everything else are still rows of their own and get successive
-positions.  An empty table gives an empty result.  Columns of the input stay,
+positions.  Very long texts only pass through their size or digest.  An empty table gives an empty result.  Columns of the input stay,
 but those with the name of a result column are replaced.
 """
 
@@ -117,8 +117,10 @@ def mixed(rows: DataFrame, key: str = "doc_id", weights: DataFrame | None = None
     Adds ``block`` (number in the source), ``release``, ``deadline`` and ``slot`` in
     blocks, and ``position`` in rows, gapless from 0.
     """
+    # A digest of the whole row, so that a key with very many unlike rows is spread over the buckets.
+    others = [c for c in rows.columns if c != key]
     alike = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")).withColumn(
-        "key_digest", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
+        "key_digest", F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [key, *others]])))
     leading = (F.conv(F.substring("key_digest", 1, 4), 16, 10).cast("int") * BUCKETS / 65536).cast("int")
     order = ["key_digest", *[F.col(c).asc_nulls_first() for c in rows.columns]]
     started = numbered(alike, ["source"], leading, order, "copies", "first_row", "mixing-rows")
