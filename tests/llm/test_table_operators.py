@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -223,9 +224,63 @@ def test_a_row_that_stands_very_often_is_expanded_whole(spark):
     assert sorted(r.slot for r in sharding.placed(docs).collect()) == list(range(9000))
 
 
+@pytest.mark.parametrize("bucket_of", ["sharding", "mixing"])
+def test_a_hot_key_of_unlike_rows_is_spread_over_buckets(spark, monkeypatch, bucket_of):
+    """Rows with a null id and unlike texts: numbered in many windows, not one."""
+    module, seen = (sharding if bucket_of == "sharding" else mixing), []
+    numbered = module.numbered
+
+    def watched(rows, group, bucket, *rest):
+        seen.append(rows.select(bucket.alias("b")).distinct().count())
+        return numbered(rows, group, bucket, *rest)
+
+    monkeypatch.setattr(module, "numbered", watched)
+    docs = spark.range(4000).selectExpr(
+        "cast(null as bigint) as doc_id", "repeat('x', int(id % 3000)) || id as text", "'en' as lang", "'a' as source", "1L as n_chars")
+    out = sharding.placed(docs) if bucket_of == "sharding" else mixing.mix_report(docs)
+    column = "slot" if bucket_of == "sharding" else "position"
+    assert sorted(r[column] for r in out.collect()) == list(range(4000)) and seen[0] > 500
+
+
 # ------------------------------------------------------------------ mixing
 
 
+def slow_mix(rows):
+    """Slots and positions of (doc_id, source, bytes) rows, one row at a time."""
+    counts = Counter(s for _, s, _ in rows)
+    weight = {s: n ** mixing.TEMPERATURE for s, n in counts.items()}
+    of, total = max(mixing.PARTS, 4 * len(weight)), math.fsum(weight.values())
+    share = {s: w / total * (of - len(weight)) for s, w in weight.items()}
+    parts = {s: 1 + math.floor(x) for s, x in share.items()}
+    by_rest = sorted(share, key=lambda s: (-(share[s] - math.floor(share[s])), s is not None, s or ""))
+    for s in by_rest[:of - sum(parts.values())]:
+        parts[s] += 1
+    had, turns = Counter(), defaultdict(list)
+    for slot in range(of):
+        open_ = [s for s in parts if had[s] * of < (slot + 1) * parts[s]]
+        best = min(open_, key=lambda s: (
+            -(-(had[s] + 1) * of // parts[s]), -(-(had[s] + 2) * of // parts[s]), s or "", s is not None))
+        turns[best].append(slot)
+        had[best] += 1
+    placed = []
+    for s in parts:
+        own = [r for r in rows if r[1] == s]
+        own.sort(key=lambda r: (hashlib.md5("|".join(
+            "" if x is None else str(x) for x in r).encode()).hexdigest(), r[0] is not None, r[0] or 0))
+        for i, (doc_id, _, _) in enumerate(own):
+            block = i // mixing.BLOCK_ROWS
+            placed.append(((block // parts[s]) * of + turns[s][block % parts[s]], i, doc_id, s, block,
+                           block * of // parts[s], -(-(block + 1) * of // parts[s])))
+    placed.sort(key=lambda p: p[:2])
+    return Counter((d, s, b, rel, due, slot, at) for at, (slot, _, d, s, b, rel, due) in enumerate(placed))
+
+
+def test_mix_equals_brute_force(spark, sf):
+    docs = common.clashing(spark).select(*common.SCHEMA.names).unionByName(common.sample(spark, sf))
+    rows = [(r.doc_id, r.source, len((r.text or "").encode())) for r in docs.collect()]
+    assert Counter(map(tuple, mixing.mix_report(docs).collect())) == slow_mix(rows)
+
+
 def test_schedule_of_a_period_is_pfair(spark):
     weights = spark.createDataFrame([("a", 5.0), ("b", 3.0), ("c", 1.0), (None, 1.0)], "source string, weight double")
     shares = mixing.in_parts(weights, 40)

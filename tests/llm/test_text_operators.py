@@ -272,3 +272,14 @@ def test_repeats_with_short_windows(spark):
     got = repeats.cleaned(docs, window=6, anchor=2).collect()
     found = Counter((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.text.encode()).hexdigest()) for r in got)
     assert found == slow_repeats(rows, 6)
+
+
+def test_very_many_equal_rows_cost_what_they_are(spark):
+    """Equal rows share their spans: each is given once and not once for every row."""
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(7, text, "en", "a", 1)] * 3000 + [(None, text + " end", "en", "a", 1)] * 500
+    docs = spark.createDataFrame(rows, common.SCHEMA)
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in repeats.digests(docs).collect())
+    assert got == {(7, 400, 400): 3000, (None, 401, 401): 500}
+    spans = repeats.covered(docs).groupBy("doc_id", "row_key").agg(F.count_distinct("start", "n").alias("n"))
+    assert all(r.n < 500 for r in spans.collect())
