@@ -283,3 +283,29 @@ def test_very_many_equal_rows_cost_what_they_are(spark):
     assert got == {(7, 400, 400): 3000, (None, 401, 401): 500}
     spans = repeats.covered(docs).groupBy("doc_id", "row_key").agg(F.count_distinct("start", "n").alias("n"))
     assert all(r.n < 500 for r in spans.collect())
+
+
+def slow_score(run, model):
+    chars = [ord(c) for c in f"^{run}$"]
+    return sum(model[a * 128 + b] for a, b in zip(chars, chars[1:]))
+
+
+def test_texts_of_very_many_runs(spark):
+    """Positions and scores of 60,000 runs in one text, against plain Python; time grows with the runs."""
+    import random
+
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = ["getDefaultTextValue", "load_list_of_items", "résumé", "😀", "projectFileName"]
+    words = [rng.choice(names) if rng.random() < 0.9 else "".join(rng.choices(letters, k=20)) for _ in range(60_000)]
+    text = " ".join(words) + " password=hunter22"
+    samples = common.sample(spark, "/root/testdata/sf0.001").select("doc_id", "text")
+    model = secret_scan.train(secret_scan.labelled_samples(samples))
+    frame = spark.createDataFrame([(1, text), (2, "plain"), (3, None)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in secret_scan.scan(frame, model).select("doc_id", "base", "found").collect()}
+    base = [(m.start(), 0, m.end()) for m in re.finditer("password=hunter22", text)]
+    want = base + [
+        (m.start(), 3, m.end()) for m in re.finditer(r"[A-Za-z0-9+/_=-]{12,}", text)
+        if slow_score(m[0], model) >= secret_scan.THRESHOLD and m.start() != base[0][0]]
+    assert [tuple(s) for s in got[1].found] == sorted(want) and len(want) > 5_000
+    assert not got[2].found and not got[3].found

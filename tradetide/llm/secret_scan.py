@@ -56,6 +56,7 @@ BASE = [
 # Shorter runs fail anyway; asking for the length in the pattern finds the same runs sooner.
 SOONER = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
 RUN = rf"[A-Za-z0-9+/_=-]{{{SHORTEST_RUN},}}"
+PIECE = 256  # matches whose positions are added up at a time
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -159,16 +160,32 @@ def located(text: str, found: str, pattern: str, kind: int) -> Column:
     sizes = F.transform(
         F.arrays_zip(F.col(found).alias("m"), between.alias("g")),
         lambda x: F.struct(F.length(x["g"]).alias("gap"), F.length(x["m"]).alias("len")))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPANS})").alias("out"))
-    spans = F.aggregate(
-        sizes, start,
-        lambda acc, x: F.when(x["len"].isNull(), acc).otherwise(F.struct(
+    none = F.expr(f"cast(array() as {SPANS})")
+
+    def add(acc: Column, x: Column) -> Column:
+        return F.when(x["len"].isNull(), acc).otherwise(F.struct(
             (acc["at"] + x["gap"] + x["len"]).alias("at"),
             F.concat(acc["out"], F.array(F.struct(
                 (acc["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"),
-                (acc["at"] + x["gap"] + x["len"]).alias("end")))).cast(SPANS).alias("out"))),
-        lambda acc: acc["out"])
-    return F.when(F.size(found) == 0, F.expr(f"cast(array() as {SPANS})")).otherwise(spans)
+                (acc["at"] + x["gap"] + x["len"]).alias("end")))).cast(SPANS).alias("out")))
+
+    def add_piece(acc: Column, some: Column) -> Column:
+        done = F.aggregate(some, F.struct(acc["at"].alias("at"), none.alias("out")), add)
+        # A fold of one element gives the result of the inner fold a name.
+        return F.aggregate(
+            F.array(done), acc, lambda a, d: F.struct(
+                d["at"].alias("at"), F.concat(a["out"], F.array(d["out"])).cast(f"array<{SPANS}>").alias("out")))
+
+    def whole(all_sizes: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{SPANS}>)").alias("out"))
+        firsts = F.sequence(F.lit(1), F.size(all_sizes), F.lit(PIECE))
+        return F.flatten(F.aggregate(
+            firsts, start, lambda acc, first: add_piece(acc, F.slice(all_sizes, first, F.lit(PIECE))),
+            lambda acc: acc["out"]))
+
+    # Spans grow piece by piece: a fold that appends to one array copies it each time.
+    spans = F.element_at(F.transform(F.array(sizes), whole), 1)
+    return F.when(F.size(found) == 0, none).otherwise(spans)
 
 
 def scan(docs: DataFrame, model: list[int], text: str = "text") -> DataFrame:
