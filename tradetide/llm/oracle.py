@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from tradetide.llm import chat, embeddings, quality, repeats, sharding, spelling
+from tradetide.llm import chat, embeddings, mixing, quality, repeats, sharding, spelling
 
 # Rows get a number of their own: ids may be null or occur more than once.
 WORDS = r"""docs as (
@@ -197,7 +197,51 @@ roots as (select w.word, w.last as root from ways w join forms f on f.word = w.l
 select word, form, root, n, n_near, form_n from forms join roots using (word)"""
 
 
+def mixing_sql() -> str:
+    """The schedule of one period is a recursion over its slots; lists carry what each source has had."""
+    return f"""
+with recursive narrow as (
+    select doc_id, source, strlen(coalesce(text, '')) as bytes from documents),
+numbers as (
+    select doc_id, source, row_number() over (partition by source order by
+        md5(concat_ws('|', coalesce(doc_id::varchar, ''), coalesce(source, ''), bytes)), doc_id nulls first, bytes) - 1 as r
+    from narrow),
+weights as (select source, pow(count(*), {mixing.TEMPERATURE}) as weight from narrow group by source),
+totals as (
+    select sum(weight) as total, count(*) as sources, greatest({mixing.PARTS}, 4 * count(*)) as period from weights),
+shares as (select source, period, sources, weight / total * (period - sources) as share from weights, totals),
+ranked as (
+    select *, row_number() over (order by share - floor(share) desc, source nulls first) as place,
+        period - sources - sum(floor(share)) over () as rest from shares),
+parts as (
+    select source, period, (1 + floor(share) + case when place <= rest then 1 else 0 end)::bigint as parts from ranked),
+told as (
+    select period, list(parts order by coalesce(source, ''), source is null) as ps,
+        list(source order by coalesce(source, ''), source is null) as names from parts group by period),
+slots as (
+    select 0::bigint as slot, list_transform(ps, lambda p: 0::bigint) as had, 0::bigint as pick from told
+    union all
+    select slot + 1, list_transform(had, lambda h, j: h + (j = next_pick)::bigint), next_pick from (
+        select slot, had, list_min(list_transform(ps, lambda p, i: {{
+            'late': (had[i] * period >= (slot + 1) * p)::int, 'due': ((had[i] + 1) * period + p - 1) // p,
+            'next': ((had[i] + 2) * period + p - 1) // p, 'i': i::bigint}})).i as next_pick
+        from slots, told where slot < period)),
+turns as (
+    select names[pick] as source, slot - 1 as slot, row_number() over (partition by pick order by slot) - 1 as turn
+    from slots, told where slot > 0),
+placed as (
+    select n.doc_id, n.source, n.r, n.r // {mixing.BLOCK_ROWS} as block, p.period, p.parts
+    from numbers n join parts p on n.source is not distinct from p.source),
+due as (
+    select d.doc_id, d.source, d.r, d.block, d.block * d.period // d.parts as release,
+        ((d.block + 1) * d.period + d.parts - 1) // d.parts as deadline, d.block // d.parts * d.period + t.slot as slot
+    from placed d join turns t on d.source is not distinct from t.source and t.turn = d.block % d.parts)
+select doc_id, source, block::bigint as block, release::bigint as release, deadline::bigint as deadline,
+    slot::bigint as slot, row_number() over (order by slot, r) - 1 as position from due"""
+
+
 ORACLE = {
+    "op1_mixing": mixing_sql(),
     "op4_embeddings": embeddings_sql(),
     "op5_repeats": repeats_sql(),
     "op7_sharding": sharding.placed_sql(),
