@@ -49,14 +49,24 @@ def test_forward_sums_all_segmentations(logs):
             assert math.isclose(scores[k], every_cut(b" " + word.encode(), logs[:, k], index)[0], rel_tol=1e-9)
 
 
-def test_long_words_are_walked_whole(logs):
-    word = "abcéa" * 30
+def test_long_words_are_walked_whole(spark, logs, monkeypatch):
+    words = ["abcéa" * 6, "bca" * 9, "a" * 31]
     pieces = language_id.Pieces(PIECES)
-    one = language_id.word_scores([word], pieces, logs)
-    many = language_id.forward(
-        pieces.spans(np.frombuffer((" " + word).encode() * 2, np.uint8).reshape(2, -1)), (2, len((" " + word).encode())), logs)
-    assert np.allclose(one[0], many[0, -1], rtol=1e-12) and np.isfinite(one).all()
-    assert np.isfinite(language_id.word_scores(["x" * 50_000], pieces, logs)).all()
+    counts = spark.createDataFrame([("x", w, i + 1) for i, w in enumerate(words)], "lang string, word string, n bigint")
+    whole = language_id.word_scores(words, pieces, logs)
+    totals = {r.piece: r.n for r in language_id.expected(counts, pieces, {"x": logs[:, 0]}).collect()}
+    found = np.zeros(len(PIECES))
+    for i, (some, codes) in enumerate(language_id.grouped(words)):
+        monkeypatch.setattr(language_id, "LONG_WORD", 5)
+        language_id.count_in(found, list(pieces.at(codes)), codes.shape, logs[:, 0], None, some + 1)
+        monkeypatch.undo()
+    assert np.allclose(found[list(totals)], list(totals.values())) and np.isclose(found.sum(), sum(totals.values()))
+    monkeypatch.setattr(language_id, "LONG_WORD", 5)
+    assert np.allclose(language_id.word_scores(words, pieces, logs), whole, rtol=1e-12)
+    monkeypatch.undo()
+    assert np.isfinite(language_id.word_scores(["x" * 20_000, "ab" * 10_000], pieces, logs)).all()
+    unseen = np.full(logs.shape, -25.0)
+    assert np.isfinite(language_id.word_scores(["z" * 31, "z" * 40], pieces, unseen)).all()
 
 
 def test_expected_counts_equal_brute_force(spark, logs):

@@ -28,8 +28,9 @@ not read.
 from __future__ import annotations
 
 import base64
+import itertools
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,11 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 ROUNDS, SMOOTHING = 3, 0.1
 LONGEST_PIECE = 16  # bytes
-LONG_WORD = 64  # bytes; longer words are walked one by one
+LONG_WORD, RAISED = 32, 5.0  # bytes; longer words are walked one by one, in logarithms
 WORDS_HELD = 200_000
-CELLS_AT_ONCE = 2_000_000
+CELLS_AT_ONCE = 500_000
+LEADING = 20  # bits of a hash that tell where to look for it
+SHIFT = np.uint64(64 - LEADING)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,13 +116,16 @@ class Pieces:
     def __init__(self, pieces: list[bytes]):
         self.count = len(pieces)
         self.longest = max(map(len, pieces))
+        self.sizes = np.array(list(map(len, pieces)))
         hashes = np.array([self._hash(np.frombuffer(p, np.uint8)[None])[0] for p in pieces], np.uint64)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
         if (self.hashes[1:] == self.hashes[:-1]).any():
             raise ValueError("two pieces share a hash")
-        self.taken = np.zeros(1 << 20, bool)
-        self.taken[self.hashes >> np.uint64(44)] = True
+        # Where the hashes with the same leading bits start; most have none or one.
+        leading = (self.hashes >> SHIFT).astype(np.int64)
+        self.first = np.searchsorted(leading, np.arange((1 << LEADING) + 1)).astype(np.int32)
+        self.most = int(np.diff(self.first).max())
 
     @staticmethod
     def _step(code: np.ndarray, byte: np.ndarray) -> np.ndarray:
@@ -133,97 +139,119 @@ class Pieces:
         return code * MULTIPLIER
 
     def at(self, codes: np.ndarray):
-        """(rows, starts, end, pieces) for each piece length and all places, of rows of bytes
-        of one length, as (size, rows, starts, pieces) arrays."""
-        size = codes.shape[1]
-        code = np.zeros(codes.shape, np.uint64)
+        """Pieces in rows of bytes of one length: (size, edges, rows, pieces) for each size of
+        pieces, where those that start at byte ``i`` lie from edges[i] to edges[i + 1]."""
+        turned = np.ascontiguousarray(codes.T)
+        size = len(turned)
+        code = np.zeros(turned.shape, np.uint64)
         for n in range(1, min(self.longest, size) + 1):
-            code = self._step(code[:, :size - n + 1], codes[:, n - 1:])
+            code = self._step(code[:size - n + 1], turned[n - 1:])
             hashes = code * MULTIPLIER
-            rows, starts = np.nonzero(self.taken[hashes >> np.uint64(44)])
-            wanted = hashes[rows, starts]
-            place = np.minimum(np.searchsorted(self.hashes, wanted), self.count - 1)
+            leading = (hashes >> SHIFT).astype(np.int64)
+            starts, rows = np.nonzero(self.first[leading] < self.first[leading + 1])
+            wanted, leading = hashes[starts, rows], leading[starts, rows]
+            place, end = self.first[leading], self.first[leading + 1]
+            for _ in range(1, self.most):
+                place = np.where((self.hashes[place] != wanted) & (place + 1 < end), place + 1, place)
             same = self.hashes[place] == wanted
-            yield n, rows[same], starts[same], self.order[place[same]]
-
-    def spans(self, codes: np.ndarray):
-        """Arrays (start, end, row, piece) of all pieces found, by end and then start."""
-        found = list(self.at(codes))
-        rows = np.concatenate([f[1] for f in found])
-        starts = np.concatenate([f[2] for f in found])
-        ends = starts + np.repeat([f[0] for f in found], [len(f[1]) for f in found])
-        pieces = np.concatenate([f[3] for f in found])
-        order = np.lexsort((rows, starts, ends))
-        return starts[order], ends[order], rows[order], pieces[order]
+            edges = np.searchsorted(starts[same], np.arange(size - n + 2)).tolist()
+            yield n, edges, rows[same], self.order[place[same]]
 
 
 def grouped(words: list[str]):
-    """(indexes, rows of bytes) of words of one length each, in pieces of bounded size."""
+    """(indexes, rows of bytes) of words of one length each, in pieces of bounded size; words
+    longer than ``LONG_WORD`` come one by one."""
     coded = [b" " + w.encode() for w in words]
     sizes = np.fromiter(map(len, coded), np.int64, len(coded))
     order = np.argsort(sizes, kind="stable")
     edges = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         size = int(sizes[order[a]])
-        step = max(1, CELLS_AT_ONCE // (16 * size))
+        step = max(1, CELLS_AT_ONCE // size) if size <= LONG_WORD else 1
         for at in range(a, b, step):
             some = order[at:min(b, at + step)]
             yield some, np.frombuffer(b"".join([coded[i] for i in some.tolist()]), np.uint8).reshape(-1, size)
 
 
-def runs(starts: np.ndarray, ends: np.ndarray):
-    """Slices of equal (start, end)."""
-    change = np.flatnonzero((np.diff(starts) != 0) | (np.diff(ends) != 0)) + 1
-    edges = [0, *change.tolist(), len(starts)]
-    return zip(edges[:-1], edges[1:])
-
-
-def forward(spans, shape: tuple[int, int], logs: np.ndarray) -> np.ndarray:
-    """Log sums over the segmentations of every beginning: (words, bytes + 1, languages)."""
-    starts, ends, rows, pieces = spans
-    alpha = np.full((shape[0], shape[1] + 1, logs.shape[1]), -np.inf)
-    alpha[:, 0] = 0
-    if shape[0] == 1:  # a long word: all pieces that end at a byte at once
-        edges = np.searchsorted(ends, np.arange(1, shape[1] + 2)).tolist()
-        for end, (a, b) in enumerate(zip(edges[:-1], edges[1:]), 1):
-            alpha[0, end] = np.logaddexp.reduce(alpha[0, starts[a:b]] + logs[pieces[a:b]], axis=0)
-        return alpha
-    for a, b in runs(starts, ends):
-        start, end, row = starts[a], ends[a], rows[a:b]
-        alpha[row, end] = np.logaddexp(alpha[row, end], alpha[row, start] + logs[pieces[a:b]])
+def forward(found: list, shape: tuple[int, int], weights: np.ndarray) -> np.ndarray:
+    """Sums over the segmentations of every beginning: (bytes + 1, words, languages)."""
+    alpha = np.zeros((shape[1] + 1, shape[0], weights.shape[1]))
+    alpha[0] = 1
+    for end in range(1, shape[1] + 1):
+        for n, edges, rows, pieces in found[:end]:
+            a, b = edges[end - n], edges[end - n + 1]
+            if a < b:
+                alpha[end, rows[a:b]] += alpha[end - n, rows[a:b]] * weights[pieces[a:b]]
     return alpha
 
 
-def backward(spans, shape: tuple[int, int], logs: np.ndarray) -> np.ndarray:
+def backward(found: list, shape: tuple[int, int], weights: np.ndarray) -> np.ndarray:
     """The same for every end of the words."""
-    starts, ends, rows, pieces = spans
-    mirrored = np.lexsort((rows, -ends, -starts))
     size = shape[1]
-    turned = forward((size - ends[mirrored], size - starts[mirrored], rows[mirrored], pieces[mirrored]), shape, logs)
-    return turned[:, ::-1]
+    beta = np.zeros((size + 1, shape[0], weights.shape[1]))
+    beta[size] = 1
+    for start in range(size - 1, -1, -1):
+        for n, edges, rows, pieces in found[:size - start]:
+            a, b = edges[start], edges[start + 1]
+            if a < b:
+                beta[start, rows[a:b]] += beta[start + n, rows[a:b]] * weights[pieces[a:b]]
+    return beta
+
+
+def walk(found: list, size: int, logs: np.ndarray, back: bool = False) -> np.ndarray:
+    """Logs of the sums of one long word: (bytes + 1, languages).  Its pieces go by byte."""
+    sums = np.full((size + 1, logs.shape[1]), -np.inf)
+    sums[size if back else 0] = 0
+    for i in range(1, size + 1):
+        at = size - i if back else i
+        terms = []
+        for n, edges, _, pieces in found[:i]:
+            start = at if back else at - n
+            terms += [sums[at + n if back else start] + logs[p] for p in pieces[edges[start]:edges[start + 1]]]
+        sums[at] = np.logaddexp.reduce(terms, axis=0)
+    return sums
+
+
+def weights_of(logs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Probabilities of pieces, raised by a factor for each byte so that words of up to
+    ``LONG_WORD`` bytes stay within the range of doubles."""
+    return np.exp(logs + RAISED * sizes[:, None])
 
 
 # ------------------------------------------------------------------ learning
 
 
+def count_in(totals, found, shape, logs, weights, times) -> None:
+    """Adds how often each piece is expected in words of one length that occur ``times``."""
+    size = shape[1]
+    if size > LONG_WORD:
+        alpha, beta = (walk(found, size, logs[:, None], back)[:, 0] for back in (False, True))
+        for n, edges, _, pieces in found:
+            starts = np.repeat(np.arange(size - n + 1), np.diff(edges))
+            share = np.exp(alpha[starts] + logs[pieces] + beta[starts + n] - alpha[size])
+            totals += np.bincount(pieces, share * times[0], len(totals))
+        return
+    alpha, beta = forward(found, shape, weights)[:, :, 0], backward(found, shape, weights)[:, :, 0]
+    each = times / alpha[size]
+    for n, edges, rows, pieces in found:
+        starts = np.repeat(np.arange(size - n + 1), np.diff(edges))
+        share = alpha[starts, rows] * weights[pieces, 0] * beta[starts + n, rows] * each[rows]
+        totals += np.bincount(pieces, share, len(totals))
+
+
 def expected(counts: DataFrame, pieces: Pieces, logs: dict[str, np.ndarray]) -> DataFrame:
     """lang, piece and ``n``: how often each piece is expected, given the model."""
 
     def run(batches):
         totals = {lang: np.zeros(pieces.count) for lang in logs}
+        weights = {lang: weights_of(own[:, None], pieces.sizes) for lang, own in logs.items()}
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
             words, times = batch.column(1).to_pylist(), batch.column(2).to_numpy()
             for lang in set(langs.tolist()):
                 own = np.flatnonzero(langs == lang)
-                table = logs[lang][:, None]
                 for some, codes in grouped([words[i] for i in own.tolist()]):
-                    spans = pieces.spans(codes)
-                    alpha, beta = forward(spans, codes.shape, table), backward(spans, codes.shape, table)
-                    starts, ends, rows, found = spans
-                    share = np.exp(
-                        alpha[rows, starts, 0] + table[found, 0] + beta[rows, ends, 0] - alpha[rows, -1, 0])
-                    np.add.at(totals[lang], found, share * times[own[some]][rows])
+                    count_in(totals[lang], list(pieces.at(codes)), codes.shape, logs[lang], weights[lang], times[own[some]])
         for lang, total in totals.items():
             had = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([
@@ -254,33 +282,33 @@ def learned(docs: DataFrame, vocabulary: list[bytes], rounds: int = ROUNDS) -> t
 
 def word_scores(words: list[str], pieces: Pieces, logs: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language."""
-    scores = np.zeros((len(words), logs.shape[1]))
+    scores, weights = np.zeros((len(words), logs.shape[1])), weights_of(logs, pieces.sizes)
     for some, codes in grouped(words):
-        if codes.shape[1] > LONG_WORD:
-            for i, row in zip(some.tolist(), codes):
-                scores[i] = forward(pieces.spans(row[None]), (1, len(row)), logs)[0, -1]
+        found, size = list(pieces.at(codes)), codes.shape[1]
+        if size > LONG_WORD:
+            scores[some] = walk(found, size, logs)[size]
         else:
-            scores[some] = forward(pieces.spans(codes), codes.shape, logs)[:, -1]
+            scores[some] = np.log(forward(found, codes.shape, weights)[size]) - RAISED * size
     return scores
 
 
 def predictions(texts: list[str], langs: list[str], pieces: Pieces, logs: np.ndarray):
     """(language, score) of each text."""
-    index: dict[str, int] = {}
-    rows, words, times = [], [], []
-    for row, text in enumerate(texts):
-        for word, n in words_of(text).items():
-            rows.append(row)
-            words.append(index.setdefault(word, len(index)))
-            times.append(n)
-    if not langs or not rows:
+    index: dict[str, int] = defaultdict(itertools.count().__next__)
+    sizes, words, times = [], [], []
+    for text in texts:
+        found = words_of(text)
+        sizes.append(len(found))
+        words += map(index.__getitem__, found)
+        times += found.values()
+    if not langs or not words:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    scores = word_scores(list(index), pieces, logs)[words] * np.array(times)[:, None]
+    rows = np.repeat(np.arange(len(texts)), sizes)
+    scores = word_scores(list(index), pieces, logs)[np.array(words)] * np.array(times)[:, None]
     totals = np.stack([np.bincount(rows, s, len(texts)) for s in scores.T], 1)
     best = totals.argmax(axis=1)
     share = 1 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
-    has = np.bincount(rows, minlength=len(texts)) > 0
-    return [langs[b] if h else UNKNOWN for b, h in zip(best.tolist(), has)], np.where(has, share, 0.0)
+    return [langs[b] if n else UNKNOWN for b, n in zip(best.tolist(), sizes)], np.where(np.array(sizes) > 0, share, 0.0)
 
 
 def held_out(doc_id):
