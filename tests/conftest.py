@@ -9,6 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from helpers import SF  # noqa: E402
 from tradetide.session import configure  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (

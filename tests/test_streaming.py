@@ -34,14 +34,13 @@ def sums(frame):
 
 
 def feed(own, tmp_path, parts, **options):
-    """Takes in the parts one after the other, each by a query started anew; what each matched."""
-    source, out, got = str(tmp_path / "in"), str(tmp_path / "out"), []
-    for i, part in enumerate(parts):
+    """Takes in the parts as one micro-batch each; what each of them matched."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in parts:
         part.select(COLUMNS).coalesce(1).write.mode("append").parquet(source)
-        read = own.readStream.schema(part.select(COLUMNS).schema).parquet(source)
-        stream_match(read, out, **options).awaitTermination()
-        got.append(sums(own.read.parquet(f"{out}/matched/batch_id={i}")))
-    return got
+    read = own.readStream.schema(parts[0].select(COLUMNS).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream_match(read, out, **options).awaitTermination()
+    return [sums(own.read.parquet(f"{out}/matched/batch_id={i}")) for i in range(len(parts))]
 
 
 def state_of(own, tmp_path):
@@ -121,7 +120,7 @@ def test_matching_does_not_depend_on_the_cut(spark, tmp_path, parts, state_parti
         part.select(COLUMNS).coalesce(1).write.mode("append").parquet(source)
         read = own.readStream.schema(part.select(COLUMNS).schema).parquet(source)
         job = ReportJob(own, str(tmp_path / "job"))
-        query = job.start(read, availableNow=True)
+        query = job.start(read, availableNow=True, publish_each=i == parts - 1)
         query.awaitTermination()
         job.progress.detach()
         # The state store has as many partitions as the session says, whatever the cores.
