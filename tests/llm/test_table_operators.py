@@ -109,6 +109,7 @@ def test_one_document_of_each_group_stays(spark, sf):
 def test_embeddings_equal_brute_force(spark, sf, monkeypatch):
     monkeypatch.setattr(embeddings, "STRIP", 16)
     monkeypatch.setattr(embeddings, "PAIRS", 64)
+    monkeypatch.setattr(embeddings, "HOMES", 32)
     rng = np.random.default_rng(4)
     centre = rng.standard_normal(64)
     cluster = [(5000 + i, (centre + 0.08 * rng.standard_normal(64)).astype(np.float32).tolist()) for i in range(60)]
@@ -145,7 +146,8 @@ def link_counts(unit):
 
 
 @pytest.mark.parametrize("jitter", [1e-4, 1e-5, 1e-6, 1e-7])
-def test_tight_clusters_with_several_pivots(spark, jitter):
+def test_tight_clusters_over_several_boxes(spark, jitter, monkeypatch):
+    monkeypatch.setattr(embeddings, "HOMES", 64)
     rng = np.random.default_rng(8)
     centre = rng.standard_normal(64)
     centre /= np.linalg.norm(centre)
@@ -184,6 +186,33 @@ def test_a_pair_at_the_edge_of_a_share_counts_once(spark):
     assert all(r.n_links == 1 for r in embeddings.classes(frame).collect())
 
 
+def test_pairs_too_close_for_single_precision(spark):
+    # Cosines within 1e-7 of the least one on either side; every other vector comes three times.
+    rng = np.random.default_rng(6)
+    vectors = []
+    for i in range(200):
+        a, b = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        cosine = 0.95 + (1 if i % 3 else -1) * 10.0 ** rng.uniform(-11, -7)
+        vectors += [a] * (1 + 2 * (i % 2)) + [cosine * a + np.sqrt(1 - cosine ** 2) * b]
+    vectors = np.array(vectors)
+    want, margin = link_counts(vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+    assert 1e-13 < margin < 1e-9 and {0, 1, 3} <= set(want.tolist())
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.classes(frame).collect()}
+    assert [got[i] for i in range(len(want))] == want.tolist()
+
+
+def test_boxes_fill_the_space_without_overlap():
+    rng = np.random.default_rng(9)
+    for sample in (rng.standard_normal((50, 8)), np.zeros((20, 8)), np.repeat(rng.standard_normal((2, 8)), 9, axis=0)):
+        low, high = embeddings.boxes(sample, 5)
+        x = np.concatenate([sample, 3 * rng.standard_normal((500, 8))])
+        member = ((low <= x[:, None]) & (x[:, None] < high)).all(axis=2)
+        assert len(low) == 32 and (member.sum(axis=1) == 1).all()
+        assert (member.argmax(axis=1) == embeddings.inside(x, low, high)).all()
+        assert (embeddings.beyond(x, low, high)[member] == 0).all()
+
+
 def test_fragments_bound_a_task_and_find_the_same(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/embeddings.parquet")
     whole = sorted(map(tuple, embeddings.classes(docs).collect()))
