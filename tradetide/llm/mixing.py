@@ -111,14 +111,16 @@ def schedule(shares: DataFrame) -> DataFrame:
 
 
 def mixed(rows: DataFrame, key: str = "doc_id", weights: DataFrame | None = None,
-          block_rows: int = BLOCK_ROWS, parts: int = PARTS) -> DataFrame:
+          block_rows: int = BLOCK_ROWS, parts: int = PARTS, ties: tuple[str, ...] = ()) -> DataFrame:
     """The mix of ``rows`` (a few narrow columns: key, source and what identifies a row).
 
-    Adds ``block`` (number in the source), ``release``, ``deadline`` and ``slot`` in
-    blocks, and ``position`` in rows, gapless from 0.
+    The columns ``ties`` only order rows that are equal in all others.  Adds ``block`` (number in
+    the source), ``release``, ``deadline`` and ``slot`` in blocks, and ``position`` in rows,
+    gapless from 0.
     """
-    # A digest of the whole row, so that a key with very many unlike rows is spread over the buckets.
-    others = [c for c in rows.columns if c != key]
+    # A digest of the whole row but for ``ties``, so that a key with very many unlike rows is spread
+    # over the buckets.
+    others = [c for c in rows.columns if c not in (key, *ties)]
     alike = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")).withColumn(
         "key_digest", F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [key, *others]])))
     leading = (F.conv(F.substring("key_digest", 1, 4), 16, 10).cast("int") * BUCKETS / 65536).cast("int")
@@ -153,22 +155,26 @@ def mixed(rows: DataFrame, key: str = "doc_id", weights: DataFrame | None = None
     return placed.drop("one", "_all", "row", "key_digest")
 
 
+def size() -> Column:
+    return F.octet_length(F.coalesce("text", F.lit("")))
+
+
 def mix_report(docs: DataFrame) -> DataFrame:
     """doc_id, source, block, release, deadline, slot and position of every document."""
-    rows = docs.select("doc_id", "source", F.octet_length(F.coalesce("text", F.lit(""))).alias("bytes"))
+    rows = docs.select("doc_id", "source", size().alias("bytes"))
     return mixed(rows).select("doc_id", "source", "block", "release", "deadline", "slot", "position")
 
 
 def in_mixed_order(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """All of ``docs``, their columns unchanged, in the order of the mix: by range of
     positions over the partitions and sorted within them, so that files written from the
-    result follow the mix.  Rows with equal key, source and text go to the first position
-    of their kind.
+    result follow the mix.  The order is that of ``mix_report``.  Rows with equal key, source and
+    text go to the first position of their kind.
     """
     digest = F.xxhash64("text")
-    rows = docs.select(F.col(key).alias("key"), "source", digest.alias("digest"))
+    rows = docs.select(F.col(key).alias("key"), "source", size().alias("bytes"), digest.alias("digest"))
     positions = stored(
-        mixed(rows, "key").groupBy("key", "source", "digest").agg(F.min("position").alias("position")),
+        mixed(rows, "key", ties=("digest",)).groupBy("key", "source", "digest").agg(F.min("position").alias("position")),
         "mixing-positions")
     joined = packed(docs, of_key=F.col(key), of_source=F.col("source"), of_digest=digest).join(
         positions, F.col("of_key").eqNullSafe(F.col("key")) & F.col("of_source").eqNullSafe(F.col("source"))
