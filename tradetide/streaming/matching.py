@@ -8,9 +8,13 @@ evicted, those.  A micro-batch reads and writes the groups its rows belong to, e
 as one value of arrays: with ``groups`` in proportion to the orders held, a group
 holds a few hundred and a batch costs what its own rows cost.
 
+Between the tasks and in the state, the rows of a group travel as columns of numbers, each
+packed into one binary value, and are matched by NumPy: a row or an order as an object of
+its own cost some tens of microseconds at each step.
+
 Amounts are whole units and millionths as integers throughout, so that no result
 depends on the order rows arrive in.  Each task sums its payments per order,
-minute and terminal, one Arrow batch at a time, before they are shuffled: an order
+minute and terminal, some Arrow batches at a time, before they are shuffled: an order
 with a third of all payments reaches its group as sums, bounded by its minutes.
 
 Which order counts: copies of an order are alike and count once.  Should two unlike
@@ -26,8 +30,8 @@ adds to each terminal's minutes, matched or not) or ``rejected``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from decimal import Decimal
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, GroupedData, Row, SparkSession
@@ -35,36 +39,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tradetide import schemas as S
-from tradetide.functions import exact_sum, minute_bucket
+from tradetide.functions import minute_bucket
 from tradetide.functions.money import money_of, money_parts
-from tradetide.operators.joins import pending_payments, unique_orders
+from tradetide.operators.joins import tagged_union
 from tradetide.session import checked_state_session, state_partitions_of
 
 # Groups for each state partition where a job doesn't say: small jobs.
 GROUPS_PER_PARTITION = 64
+# Rows and bytes a task sums and packs at once, and rows of an unpacked Arrow batch, at most.
+CHUNK, CHUNK_BYTES, UNPACKED = 2**18, 2**26, 2**16
 
 KEYS = ["part", "kind", "order_id", "plat", "total_price", "minute", "pay_platform"]
 SUMS = ["whole", "millionths", "payments"]
 REJECT = ["topic", "body", "reason"]
-COMBINED = (
-    "part int, kind string, order_id bigint, plat string, total_price double, minute bigint,"
-    " pay_platform smallint, whole bigint, millionths bigint, payments bigint,"
-    " topic string, body binary, reason string"
-)
+PLATS = pa.array([S.PLAT_TB, S.PLAT_TM])
+NO_TERMINAL = -32768
+
+# Columns of packed rows and their types as numbers; a platform is its place in PLATS.
+PAYS = {"order_id": "<i8", "minute": "<i8", "pay_platform": "<i2", "whole": "<i8", "millionths": "<i8", "payments": "<i8"}
+OFFERS = {"order_id": "<i8", "plat": "i1", "total_price": "<f8"}
+MATCHED = {"order_id": "<i8", "plat": "i1", "minute": "<i8", "whole": "<i8", "millionths": "<i8", "payments": "<i8"}
+TERMINAL = {"pay_platform": "<i2", "minute": "<i8", "whole": "<i8", "millionths": "<i8", "payments": "<i8"}
+# Orders of a group with what was paid on them, by id, and its waiting minutes, by id and minute.
+ORDERS = OFFERS | {"paid": "<i8", "paid_millionths": "<i8"}
+WAITING = {"late_id": "<i8", "minute": "<i8", "waiting": "<i8", "waiting_millionths": "<i8", "waiting_payments": "<i8"}
+
+
+def _binaries(names) -> str:
+    return ", ".join(f"{name} binary" for name in names)
+
+
+REJECTED = "topic string, body binary, reason string"
+PACKED = f"part int, kind string, {_binaries(OFFERS | PAYS)}, {REJECTED}"
+PACKED_OUT = f"kind string, {_binaries(MATCHED | TERMINAL)}, {REJECTED}"
 OUT = (
     "kind string, order_id bigint, plat string, minute bigint, pay_platform smallint,"
     " whole bigint, millionths bigint, payments bigint, topic string, body binary, reason string"
 )
-# Orders (id, platform, total, millionths paid) and waiting minutes (id, minute, millionths,
-# payments) of a group, and how many orders and payments it has seen.  Totals may exceed a long.
-STATE = (
-    "orders bigint, payments bigint, order_id array<bigint>, plat array<string>, total_price array<double>,"
-    " paid array<decimal(38,0)>, late_id array<bigint>, minute array<bigint>,"
-    " waiting array<decimal(38,0)>, waiting_payments array<bigint>"
-)
-STATE_NAMES = [
-    "orders", "payments", "order_id", "plat", "total_price", "paid", "late_id", "minute", "waiting", "waiting_payments"]
+OUT_TYPES = {
+    "kind": pa.string(), "order_id": pa.int64(), "plat": pa.string(), "minute": pa.int64(), "pay_platform": pa.int16(),
+    "whole": pa.int64(), "millionths": pa.int64(), "payments": pa.int64(),
+    "topic": pa.string(), "body": pa.binary(), "reason": pa.string()}
+# How many orders and payments a group has seen, its orders and its waiting minutes.
+STATE = f"orders bigint, payments bigint, {_binaries(ORDERS | WAITING)}"
+STATE_NAMES = ["orders", "payments", *(ORDERS | WAITING)]
 MILLION = 1_000_000
+MOST_UNITS = 9e18  # what a group may add up to at once; sums of whole units beyond might not fit a long
+
+
+# ------------------------------------------------------------------ packing
 
 
 def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,6 +104,210 @@ def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from whole.combine_chunks().to_batches()
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Arrow batches put together until they have so many rows, or many bytes."""
+    held, n, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n, size = n + batch.num_rows, size + batch.nbytes
+        if n >= rows or size >= CHUNK_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, size = [], 0, 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Combined rows as one row per group and kind, its columns packed; rejects one by one."""
+    for batch in combine(gathered(batches)):
+        table = pa.Table.from_batches([batch])
+        for kind, columns in (("pay", PAYS), ("order", OFFERS)):
+            rows = table.filter(pc.equal(table["kind"], kind))
+            if len(rows):
+                yield _pack(rows, kind, columns)
+        rejected = table.filter(pc.equal(table["kind"], "rejected"))
+        for rows in rejected.combine_chunks().to_batches():
+            nothing = pa.nulls(rows.num_rows, pa.binary())
+            yield pa.RecordBatch.from_pydict(
+                {"part": rows["part"], "kind": rows["kind"], **dict.fromkeys(OFFERS | PAYS, nothing),
+                 **{name: rows[name] for name in REJECT}})
+
+
+def _pack(rows: pa.Table, kind: str, columns: dict[str, str]) -> pa.RecordBatch:
+    part = rows["part"].to_numpy()
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = _starts([part])
+    ends = np.append(starts, len(part))
+    out = {"part": pa.array(part[starts], pa.int32()), "kind": pa.array([kind] * len(starts))}
+    for name in OFFERS | PAYS:
+        out[name] = pa.nulls(len(starts), pa.binary())
+    for name, dtype in columns.items():
+        values = np.ascontiguousarray(_numbers(rows, name)[order], dtype)
+        offsets = (ends * values.itemsize).astype(np.int32)
+        out[name] = pa.Array.from_buffers(
+            pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+    for name in REJECT:
+        out[name] = pa.nulls(len(starts), OUT_TYPES[name])
+    return pa.RecordBatch.from_pydict(out)
+
+
+def _numbers(rows: pa.Table, name: str) -> np.ndarray:
+    values = rows[name]
+    if name == "plat":
+        values = pc.index_in(values, value_set=PLATS)
+    elif name == "pay_platform":
+        values = pc.fill_null(values, NO_TERMINAL)
+    if values.null_count:
+        raise ValueError(f"{name} is missing or unknown in {values.null_count} rows")
+    return values.to_numpy()
+
+
+def _unpack(parts: list[bytes | None], dtype: str) -> np.ndarray:
+    return np.frombuffer(b"".join(part for part in parts if part), dtype)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the operator returns as rows again."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        for kind, columns in (("matched", MATCHED), ("terminal", TERMINAL)):
+            rows = table.filter(pc.equal(table["kind"], kind))
+            found = {name: pa.array(_unpack(rows[name].to_pylist(), dtype)) for name, dtype in columns.items()}
+            n = len(found["payments"])
+            if "plat" in found:
+                found["plat"] = PLATS.take(found["plat"])
+            found["kind"] = pa.repeat(kind, n)
+            for name, dtype in OUT_TYPES.items():
+                if name not in found:
+                    found[name] = pa.nulls(n, dtype)
+            yield from pa.table({name: found[name] for name in OUT_TYPES}).to_batches(UNPACKED)
+        rows = table.filter(pc.equal(table["kind"], "rejected"))
+        yield from pa.table({
+            name: rows[name] if name in ("kind", *REJECT) else pa.nulls(len(rows), dtype)
+            for name, dtype in OUT_TYPES.items()}).to_batches()
+
+
+# ----------------------------------------------------------------- matching
+
+
+def _starts(keys: list[np.ndarray]) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    changed = np.zeros(len(keys[0]), bool)
+    changed[:1] = True
+    for key in keys:
+        changed[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(changed)
+
+
+def _find(known: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ids in sorted, distinct ones, and whether they are there."""
+    at = np.searchsorted(known, ids)
+    if not len(known):
+        return at, np.zeros(len(ids), bool)
+    at = np.minimum(at, len(known) - 1)
+    return at, known[at] == ids
+
+
+def _carried(whole: np.ndarray, millionths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    carry, rest = np.divmod(millionths, MILLION)
+    return whole + carry, rest
+
+
+def _checked(*amounts: np.ndarray) -> None:
+    if sum(np.abs(a.astype(float)).sum() for a in amounts) > MOST_UNITS:
+        raise OverflowError("amounts of a group don't fit a long")
+
+
+def _summed(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, with the sums of whole units, millionths and payments."""
+    if not len(keys[0]):
+        return *keys, *sums
+    _checked(sums[0])
+    order = np.lexsort(keys[::-1])
+    keys = [key[order] for key in keys]
+    starts = _starts(keys)
+    whole, millionths, payments = (np.add.reduceat(s[order], starts) for s in sums)
+    return *[key[starts] for key in keys], *_carried(whole, millionths), payments
+
+
+def _joined(*parts) -> list[np.ndarray]:
+    return [np.concatenate(columns) for columns in zip(*parts)]
+
+
+class Group:
+    """Orders and waiting payments of one group, opened from the state."""
+
+    def __init__(self, held: tuple | None):
+        nothing = (0, 0, *[b""] * len(ORDERS | WAITING))
+        self.seen, self.paid_for, *columns = nothing if held is None else held
+        values = [np.frombuffer(c, dtype) for c, dtype in zip(columns, (ORDERS | WAITING).values())]
+        self.orders, self.waiting = values[:len(ORDERS)], values[len(ORDERS):]
+
+    def state(self) -> tuple:
+        columns = zip([*self.orders, *self.waiting], (ORDERS | WAITING).values())
+        return self.seen, self.paid_for, *[c.astype(dtype, copy=False).tobytes() for c, dtype in columns]
+
+    def take(self, pays: list[np.ndarray], offers: list[np.ndarray], keep_settled: bool):
+        """Take in a batch; what it matches (as MATCHED) and adds to terminals (as TERMINAL)."""
+        order_id, minute, terminal, *amounts = pays
+        self.paid_for += int(amounts[2].sum())
+        known = (terminal == S.TERMINAL_PC) | (terminal == S.TERMINAL_MOBILE)
+        terminals = _summed([terminal[known], minute[known]], [a[known] for a in amounts])
+
+        arrived, new = self._arrive(offers)
+        woken = _find(new, self.waiting[0])[1]
+        paid = _summed(*_keys_sums(_joined([order_id, minute, *amounts], [c[woken] for c in self.waiting])))
+        ids, plats, totals, whole, millionths = self.orders
+        at, found = _find(ids, paid[0])
+        matched = [c[found] for c in paid]
+        at = at[found]
+        _checked(whole, matched[2])
+        whole, millionths = whole.copy(), millionths.copy()
+        np.add.at(whole, at, matched[2])
+        np.add.at(millionths, at, matched[3])
+        self.orders = [ids, plats, totals, *_carried(whole, millionths)]
+        still = _joined([c[~woken] for c in self.waiting], [c[~found] for c in paid])
+        self.waiting = list(_summed(*_keys_sums(still)))
+        if not keep_settled:
+            touched = np.zeros(len(ids), bool)
+            touched[at] = True
+            touched[_find(ids, arrived)[0]] = True
+            self._evict(touched)
+        return [matched[0], plats[at], *matched[1:]], terminals
+
+    def _arrive(self, offers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Take in new orders, of unlike ones the smaller by platform and total; all ids and the new ones."""
+        ids, plats, totals = offers
+        order = np.lexsort((totals, plats, ids))
+        first = order[_starts([ids[order]])]
+        arrived = ids[first]
+        new = first[~_find(self.orders[0], arrived)[1]]
+        self.seen += len(new)
+        none = np.zeros(len(new), np.int64)
+        merged = _joined(self.orders, [ids[new], plats[new], totals[new], none, none])
+        order = np.argsort(merged[0], kind="stable")
+        self.orders = [c[order] for c in merged]
+        return arrived, ids[new]
+
+    def _evict(self, touched: np.ndarray) -> None:
+        """Settled orders leave.  The difference is that of the amounts as doubles, as in batch."""
+        _, _, totals, whole, millionths = self.orders
+        about = np.abs((totals - whole) - millionths / MILLION)
+        near = np.flatnonzero(touched & (about <= 2 * S.SETTLED_TOLERANCE + 4 * np.spacing(np.abs(totals))))
+        settled = [
+            abs(total - (units * MILLION + rest) / MILLION) <= S.SETTLED_TOLERANCE
+            for total, units, rest in zip(totals[near].tolist(), whole[near].tolist(), millionths[near].tolist())]
+        stays = np.ones(len(totals), bool)
+        stays[near[np.array(settled, bool)]] = False
+        self.orders = [c[stays] for c in self.orders]
+
+
+def _keys_sums(columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Order id and minute; whole units, millionths and payments."""
+    return columns[:2], columns[2:]
+
+
 class Matcher(StatefulProcessor):
     """Orders and waiting payments of one group."""
 
@@ -94,80 +321,31 @@ class Matcher(StatefulProcessor):
         self.held.update(tuple(initialState[name] for name in STATE_NAMES))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.held.get()
-        seen, paid_for, orders, waiting = self._opened(held)
-        arrived, paid, terminals = {}, {}, {}
+        parts = {"pay": [], "order": []}
         for row in rows:
             if row.kind == "rejected":
                 yield _out("rejected", topic=row.topic, body=row.body, reason=row.reason)
-            elif row.kind == "order":
-                offer = (row.plat != S.PLAT_TB, row.total_price, row.plat)
-                arrived[row.order_id] = min(offer, arrived.get(row.order_id, offer))
             else:
-                amount = row.whole * MILLION + row.millionths
-                _add(paid, (row.order_id, row.minute), amount, row.payments)
-                if row.pay_platform in (S.TERMINAL_PC, S.TERMINAL_MOBILE):
-                    _add(terminals, (row.pay_platform, row.minute), amount, row.payments)
-                paid_for += row.payments
-        for (terminal, minute), (amount, n) in terminals.items():
-            yield _out("terminal", pay_platform=terminal, minute=minute, amount=amount, payments=n)
-        for order_id, (_, total, plat) in arrived.items():
-            if order_id not in orders:
-                seen += 1
-                orders[order_id] = [plat, total, 0]
-                for minute, (amount, n) in waiting.pop(order_id, {}).items():
-                    _add(paid, (order_id, minute), amount, n)
-        touched = set(arrived)
-        for (order_id, minute), (amount, n) in paid.items():
-            order = orders.get(order_id)
-            if order is None:
-                _add(waiting.setdefault(order_id, {}), minute, amount, n)
-            else:
-                order[2] += amount
-                touched.add(order_id)
-                yield _out("matched", order_id=order_id, plat=order[0], minute=minute, amount=amount, payments=n)
-        if not self.keep_settled:
-            for order_id in touched:
-                if abs(orders[order_id][1] - orders[order_id][2] / MILLION) <= S.SETTLED_TOLERANCE:
-                    del orders[order_id]
-        self._close(seen, paid_for, orders, waiting)
-
-    def _opened(self, held):
-        """State as the number of orders and payments seen, orders by id and waiting minutes by id."""
-        orders, waiting = {}, {}
-        if held is None:
-            return 0, 0, orders, waiting
-        seen, paid_for, ids, plats, totals, paid, late, minutes, amounts, counts = held
-        for order_id, plat, total, amount in zip(ids, plats, totals, paid):
-            orders[order_id] = [plat, total, int(amount)]
-        for order_id, minute, amount, n in zip(late, minutes, amounts, counts):
-            waiting.setdefault(order_id, {})[minute] = (int(amount), n)
-        return seen, paid_for, orders, waiting
-
-    def _close(self, seen, paid_for, orders, waiting) -> None:
-        late = [(i, m, a, n) for i, minutes in waiting.items() for m, (a, n) in minutes.items()]
-        plats, totals, paid = zip(*orders.values()) if orders else ((), (), ())
-        ids, minutes, amounts, counts = zip(*late) if late else ((), (), (), ())
-        self.held.update((
-            seen, paid_for, list(orders), list(plats), list(totals), _decimals(paid),
-            list(ids), list(minutes), _decimals(amounts), list(counts)))
+                parts[row.kind].append(row)
+        group = Group(self.held.get())
+        matched, terminals = group.take(
+            _columns(parts["pay"], PAYS), _columns(parts["order"], OFFERS), self.keep_settled)
+        for kind, columns, names in (("terminal", terminals, TERMINAL), ("matched", matched, MATCHED)):
+            if len(columns[0]):
+                yield _out(kind, **{
+                    name: c.astype(dtype, copy=False).tobytes() for (name, dtype), c in zip(names.items(), columns)})
+        self.held.update(group.state())
 
     def close(self) -> None:
         pass
 
 
-def _decimals(amounts):
-    return [Decimal(a) for a in amounts]
-
-
-def _add(sums: dict, key, amount: int, n: int) -> None:
-    before = sums.get(key, (0, 0))
-    sums[key] = (before[0] + amount, before[1] + n)
+def _columns(rows: list, names: dict[str, str]) -> list[np.ndarray]:
+    return [_unpack([row[name] for row in rows], dtype) for name, dtype in names.items()]
 
 
-def _out(kind, order_id=None, plat=None, minute=None, pay_platform=None, amount=None, payments=None,
+def _out(kind, order_id=None, plat=None, minute=None, pay_platform=None, whole=None, millionths=None, payments=None,
          topic=None, body=None, reason=None) -> Row:
-    whole, millionths = (None, None) if amount is None else divmod(amount, MILLION)
     return Row(
         kind=kind, order_id=order_id, plat=plat, minute=minute, pay_platform=pay_platform, whole=whole,
         millionths=millionths, payments=payments, topic=topic, body=body, reason=reason)
@@ -177,19 +355,8 @@ def part_of(key: Column, groups: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")
 
 
-def tagged_stream(
-    messages: DataFrame, groups: int | None = None, keep_settled: bool = True, backlog: GroupedData | None = None
-) -> DataFrame:
-    """Tagged messages to ``kind`` rows: what they match, add to terminals, and rejects.
-
-    ``messages`` are those of ``decode_messages`` or ``classify``, read in a session of
-    ``session.stateful``.  ``groups`` is fixed for good by the first start, as the number
-    of state partitions is.  Without ``keep_settled`` an order leaves the state when it is
-    paid in full; its later payments then wait for good, so the result depends on the cut.
-    ``backlog`` is the state to start from (``backlog_state``); later starts ignore it.
-    """
-    spark = checked_state_session(messages)
-    groups = groups or GROUPS_PER_PARTITION * state_partitions_of(spark)
+def _packed_groups(messages: DataFrame, groups: int) -> DataFrame:
+    """Messages by group, summed and packed."""
     whole, millionths = money_parts("pay_amount")
     pay = F.col("type") == "pay"
     lacking = [F.lit(None).cast(t).alias(c) for c, t in (("topic", "string"), ("body", "binary"), ("reason", "string"))
@@ -203,9 +370,25 @@ def tagged_stream(
         F.when(pay, F.col("pay_platform")).cast("smallint").alias("pay_platform"),
         whole.alias("whole"), millionths.alias("millionths"),
         F.when(pay, 1).cast("bigint").alias("payments"), *REJECT)
+    return slim.mapInArrow(packed, PACKED)
+
+
+def tagged_stream(
+    messages: DataFrame, groups: int | None = None, keep_settled: bool = True, backlog: GroupedData | None = None
+) -> DataFrame:
+    """Tagged messages to ``kind`` rows: what they match, add to terminals, and rejects.
+
+    ``messages`` are those of ``decode_messages`` or ``classify``, read in a session of
+    ``session.stateful``.  ``groups`` is fixed for good by the first start, as the number
+    of state partitions is.  Without ``keep_settled`` an order leaves the state when it is
+    paid in full; its later payments then wait for good, so the result depends on the cut.
+    ``backlog`` is the state to start from (``backlog_state``); later starts ignore it.
+    """
+    spark = checked_state_session(messages)
+    groups = groups or GROUPS_PER_PARTITION * state_partitions_of(spark)
     more = {} if backlog is None else {"initialState": backlog}
-    out = slim.mapInArrow(combine, COMBINED).groupBy("part").transformWithState(
-        Matcher(keep_settled), OUT, "Append", "None", **more)
+    out = _packed_groups(messages, groups).groupBy("part").transformWithState(
+        Matcher(keep_settled), PACKED_OUT, "Append", "None", **more).mapInArrow(unpacked, OUT)
     amount = money_of(F.col("whole"), F.col("millionths"))
     return out.select(
         "kind", "order_id", "plat", "minute", "pay_platform", amount.alias("pay_amount"), "payments", *REJECT)
@@ -223,53 +406,44 @@ def backlog_state(payments: DataFrame, orders: DataFrame, groups: int, keep_sett
     The batch takes in all of ``payments`` and ``orders`` (``match_payments`` gives what
     it matched); the stream goes on with the rest, with the same ``groups``.
     """
-    def millionths(amount):
-        return (amount * MILLION).cast("decimal(38,0)")
-
-    known = unique_orders(orders)
-    paid = payments.groupBy("order_id").agg(exact_sum("pay_amount").alias("paid"))
-    every = known.join(paid, "order_id", "left")
-    if not keep_settled:
-        so_far = F.coalesce(F.col("paid").cast("double"), F.lit(0.0))
-        every = every.filter(F.abs(F.col("total_price") - so_far) > S.SETTLED_TOLERANCE)
-    part = part_of(F.col("order_id"), groups)
-    nothing = F.lit(0).cast("decimal(38,0)")
-    held = every.groupBy(part.alias("part")).agg(F.collect_list(F.struct(
-        "order_id", "plat", "total_price", F.coalesce(millionths(F.col("paid")), nothing).alias("paid"))).alias("o"))
-    late = pending_payments(payments, orders).groupBy(
-        "order_id", minute_bucket("create_time").alias("minute")).agg(
-        millionths(exact_sum("pay_amount")).alias("waiting"), F.count("*").alias("n"))
-    waits = late.groupBy(part.alias("part")).agg(
-        F.collect_list(F.struct("order_id", "minute", "waiting", "n")).alias("w"))
-    seen = known.groupBy(part.alias("part")).agg(F.count("*").alias("orders"))
-    pays = payments.groupBy(part.alias("part")).agg(F.count("*").alias("payments"))
-    none = F.lit(0).cast("bigint")
-
-    def listed(column: str, field: str, kind: str) -> Column:
-        return F.coalesce(F.col(f"{column}.{field}"), F.array().cast(f"array<{kind}>"))
-
-    whole = held
-    for other in (waits, seen, pays):
-        whole = whole.join(other, "part", "full")
-    return whole.select(
-        "part", F.coalesce("orders", none).alias("orders"), F.coalesce("payments", none).alias("payments"),
-        listed("o", "order_id", "bigint").alias("order_id"), listed("o", "plat", "string").alias("plat"),
-        listed("o", "total_price", "double").alias("total_price"), listed("o", "paid", "decimal(38,0)").alias("paid"),
-        listed("w", "order_id", "bigint").alias("late_id"), listed("w", "minute", "bigint").alias("minute"),
-        listed("w", "waiting", "decimal(38,0)").alias("waiting"),
-        listed("w", "n", "bigint").alias("waiting_payments")).groupBy("part")
+    messages = tagged_union(payments, orders)
+
+    def first(rows: pa.Table) -> pa.Table:
+        part, kinds = rows["part"][0], rows["kind"]
+        columns = [
+            [_unpack(rows.filter(pc.equal(kinds, kind))[name].to_pylist(), dtype) for name, dtype in names.items()]
+            for kind, names in (("pay", PAYS), ("order", OFFERS))]
+        group = Group(None)
+        group.take(*columns, keep_settled)
+        return pa.table({"part": [part], **{n: [v] for n, v in zip(STATE_NAMES, group.state())}}).cast(
+            pa.schema([("part", pa.int32()), ("orders", pa.int64()), ("payments", pa.int64()),
+                       *[(name, pa.binary()) for name in ORDERS | WAITING]]))
+
+    return _packed_groups(messages, groups).groupBy("part").applyInArrow(first, f"part int, {STATE}").groupBy("part")
 
 
 def held(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders, waiting minutes and numbers seen in the state of a ``tagged_stream`` query."""
     state = (
         spark.read.format("statestore").option("stateVarName", "held").load(checkpoint).select("value.*"))
-    paid = (F.col("e.paid") / MILLION).cast("double").alias("paid")
-    orders = state.select(F.explode(F.arrays_zip("order_id", "plat", "total_price", "paid")).alias("e")).select(
-        "e.order_id", "e.plat", "e.total_price", paid)
-    late = state.select(F.explode(F.arrays_zip("late_id", "minute", "waiting", "waiting_payments")).alias("e")).select(
-        F.col("e.late_id").alias("order_id"), "e.minute", (F.col("e.waiting") / MILLION).cast("double").alias("pay_amount"),
-        F.col("e.waiting_payments").alias("payments"))
+
+    def opened(names: dict[str, str]):
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = {name: pa.array(_unpack(batch[name].to_pylist(), dtype)) for name, dtype in names.items()}
+                if "plat" in found:
+                    found["plat"] = PLATS.take(found["plat"])
+                yield from pa.table(found).to_batches(UNPACKED)
+        return state.select(*names).mapInArrow(rows, ", ".join(
+            f"{name} {'string' if name == 'plat' else 'double' if name == 'total_price' else 'bigint'}" for name in names))
+
+    def amount(name: str) -> Column:
+        return money_of(F.col(name), F.col(f"{name}_millionths")).cast("double")
+
+    orders = opened(ORDERS).select("order_id", "plat", "total_price", amount("paid").alias("paid"))
+    late = opened(WAITING).select(
+        F.col("late_id").alias("order_id"), "minute", amount("waiting").alias("pay_amount"),
+        F.col("waiting_payments").alias("payments"))
     return orders, late, state.select("orders", "payments")
 
 
