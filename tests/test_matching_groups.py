@@ -107,3 +107,18 @@ def test_rows_of_a_group_travel_as_one():
             assert set(_unpack([row["plat"]], "i1").tolist()) == {1}
         else:
             assert sorted(_unpack([row["whole"]], "<i8").tolist()) == want
+
+
+def test_backlog_is_one_shuffle_and_no_join(spark):
+    from helpers import payments, plan, slim
+    from tradetide.streaming.matching import backlog_state
+
+    pays = payments(spark, (1, 3, 0, 0), (1, 7, 1, 60_000), (2, 1, 0, 0), (9, 4, 0, 0))
+    orders = slim(spark, (1, "tb", 10), (2, "tm", 9), (2, "tm", 9))
+    state = backlog_state(pays, orders, 1, keep_settled=False)._df
+    ran = plan(state)
+    assert ran.count("Exchange") == 1 and "Join" not in ran
+    group = Group(tuple(state.first())[1:])
+    assert (group.seen, group.paid_for) == (2, 4)
+    assert [c.tolist() for c in group.orders] == [[2], [1], [9.0], [1], [0]]
+    assert [c.tolist() for c in group.waiting] == [[9], [0], [4], [0], [1]]
