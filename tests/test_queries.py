@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 import __spark_entry__ as spark_entry
 from check_results import compare, connect
 from tradetide.catalog.oracle import ORACLE
+from tradetide import session
+from tradetide.catalog import queries as catalog
 from tradetide.catalog.queries import QUERIES
 from tradetide.operators import aggregates, joins, series
 from tradetide.sources import fixtures
@@ -38,6 +40,31 @@ def test_query_equals_sql(spark, con, name, monkeypatch):
     assert name == "catch_up" or all(len(q.recentProgress) >= 5 for q in ran)
 
 
+@pytest.mark.parametrize("name", ["stream_match_backlog"])
+def test_streams_grow_in_partitions_and_not_in_batches(spark, con, name, monkeypatch):
+    """Larger tables mean more files, state partitions and groups, and five batches still, none of them a small rest."""
+    work, ran, wait = [], [], StreamingQuery.awaitTermination
+    monkeypatch.setattr(StreamingQuery, "awaitTermination", lambda q, *a: (ran.append(q), wait(q, *a))[1])
+    monkeypatch.setattr(catalog, "work_dir", lambda *a: (work.append(session.work_dir(*a)), work[-1])[1])
+    monkeypatch.setattr(catalog, "PARTITION_BYTES", 15_000, raising=False)
+    monkeypatch.setattr(catalog, "FILE_BYTES", 3_500, raising=False)
+    assert compare(spark, con, name, SF) == ""
+    files = catalog._length(spark, f"{work[0]}/topics")
+    wanted = -(-files.total // 15_000)
+    pays = spark.read.format("binaryFile").load(f"{work[0]}/topics/topic=pay").count()
+    assert wanted > 8 and pays > 16
+    batches = [p for p in ran[0].recentProgress if p.numInputRows]
+    assert len(batches) == 5 and min(p.numInputRows for p in batches) > sum(p.numInputRows for p in batches) / 10
+    operator = batches[-1].stateOperators[0]
+    assert operator.numShufflePartitions == wanted and operator.numRowsTotal > 8 * 64
+
+
+def test_batches_leave_no_rest():
+    assert catalog._batch_bytes(45 * 10, 10) == 100
+    assert catalog._batch_bytes(45 * 10, 200) == 111
+    assert catalog._batch_bytes(2**40, 2**27) == catalog.MOST_BYTES
+
+
 def test_entry_returns_ratios(spark):
     frame = spark_entry.entry(spark)
     assert frame.columns == ["minute", "ratio"] and frame.count() > 0

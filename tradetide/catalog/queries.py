@@ -7,18 +7,18 @@ folder and return what they wrote.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tradetide import functions as fn
 from tradetide import schemas as S
 from tradetide.operators import aggregates, filters, joins, reconcile, series
 from tradetide.plans import reports
-from tradetide.session import stateful, work_dir
+from tradetide.session import state_partitions_of, stateful, work_dir
 from tradetide.sinks import messages as messages_out
 from tradetide.sinks.results import KeyedTable, reset_all, result_table
 from tradetide.sources import envelopes, fixtures, generator
-from tradetide.streaming.matching import backlog_state, matched_stream, stream_match
+from tradetide.streaming.matching import GROUPS_PER_PARTITION, backlog_state, matched_stream, stream_match
 from tradetide.streaming.minute_trade import stream_minute_trade
 from tradetide.streaming.reports import ReportJob, periodic_report
 
@@ -87,7 +87,8 @@ def _published(spark, sf, path: str, payments=None, orders=None) -> str:
     payments = _payments(spark, sf) if payments is None else payments
     orders = fixtures.order_messages(spark, sf) if orders is None else orders
     wire = envelopes.encode(orders, F.col("topic")).unionByName(envelopes.encode(payments, S.TOPIC_PAYMENT))
-    files = max(FILES, _payments(spark, sf).rdd.getNumPartitions())
+    tables = _length(spark, f"{sf}/events.parquet", f"{sf}/orders.parquet").total
+    files = max(FILES, _payments(spark, sf).rdd.getNumPartitions(), -(-tables // FILE_BYTES))
     messages_out.publish(wire.repartition(files, F.xxhash64("body")), path)
     messages_out.publish(envelopes.end_markers(spark), path)
     return path
@@ -95,15 +96,29 @@ def _published(spark, sf, path: str, payments=None, orders=None) -> str:
 
 # Streams here come in several micro-batches at any size, and in larger ones of at most so many bytes.
 FILES, BATCHES, MOST_BYTES = 15, 5, 2**30
-# Fixed for good by a job's first start; enough for the state of the benchmark tables.
-STATE_PARTITIONS = 8
+# State partitions are fixed for good by a job's first start; one for so many bytes of messages.
+STATE_PARTITIONS, PARTITION_BYTES = 8, 2**26
+# Of the tables' bytes, what a file of messages per topic is made from at most.
+FILE_BYTES = 2**23
+
+
+def _length(spark, *paths: str) -> Row:
+    """Bytes of all files and of the largest one, by their listing."""
+    return spark.read.format("binaryFile").load(list(paths)).agg(
+        F.sum("length").alias("total"), F.max("length").alias("largest")).first()
+
+
+def _batch_bytes(total: int, largest: int) -> int:
+    """So many bytes that a batch takes a fifth at least, which leaves no rest for a sixth, but never a fourth."""
+    return max(1, min(MOST_BYTES, total // BATCHES + largest, total // (BATCHES - 1) - 1))
 
 
 def _stream(spark, path: str) -> DataFrame:
-    """The published messages as a stream, in a session for its state."""
-    files = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    return envelopes.stream_topics(
-        stateful(spark, STATE_PARTITIONS), path, max_bytes=min(MOST_BYTES, files // BATCHES))
+    """The published messages as a stream, in a session whose state partitions, and so the
+    groups too, grow with them."""
+    files = _length(spark, path)
+    own = stateful(spark, max(STATE_PARTITIONS, -(-files.total // PARTITION_BYTES)))
+    return envelopes.stream_topics(own, path, max_bytes=_batch_bytes(files.total, files.largest))
 
 
 # ------------------------------------------------------ sources and ingest
@@ -542,7 +557,8 @@ def stream_match_backlog(spark: SparkSession, sf: str) -> DataFrame:
     early_pay, early_order = F.pmod("create_time", F.lit(5)) < 2, F.pmod("order_id", F.lit(3)) == 0
     old_pays, old_orders = payments.filter(early_pay), joins.slim_orders(orders.filter(early_order))
     path = _published(spark, sf, f"{work}/topics", payments.filter(~early_pay), orders.filter(~early_order))
-    source, groups = _stream(spark, path), 64 * STATE_PARTITIONS
+    source = _stream(spark, path)
+    groups = GROUPS_PER_PARTITION * state_partitions_of(source.sparkSession)
     stream_match(
         envelopes.decode_messages(source), work, groups=groups, backlog=backlog_state(old_pays, old_orders, groups)
     ).awaitTermination()
