@@ -122,3 +122,60 @@ def test_backlog_is_one_shuffle_and_no_join(spark):
     assert (group.seen, group.paid_for) == (2, 4)
     assert [c.tolist() for c in group.orders] == [[2], [1], [9.0], [1], [0]]
     assert [c.tolist() for c in group.waiting] == [[9], [0], [4], [0], [1]]
+
+
+def test_minutes_of_a_task_return_as_one_sum_each():
+    """What returns from Python grows with a task's minutes, not with its groups and orders."""
+    from tradetide.streaming.matching import MATCHED, OUT_TYPES, TERMINAL, minutes_of
+
+    def row(kind, names, items):
+        values = {n: c.tobytes() for n, c in zip(names, columns(items, names))}
+        return {"kind": kind, **{n: values.get(n) for n in [*MATCHED, "pay_platform"]}, "topic": None, "body": None, "reason": None}
+
+    given = [
+        row("matched", MATCHED, [(1, 0, 60, 2, 999_999, 1), (2, 1, 60, 5, 0, 1), (3, 0, 60, 1, 2, 1)]),
+        row("terminal", TERMINAL, [(0, 60, 3, 1, 2), (1, 60, 5, 0, 1)]),
+        {**row("rejected", {}, []), "topic": "pay", "body": b"x", "reason": "body"},
+        row("matched", MATCHED, [(9, 0, 60, -4, 500_000, 1), (9, 0, 120, 7, 0, 2)]),
+        row("terminal", TERMINAL, [(0, 60, 3, 0, 1)])]
+    types = {**OUT_TYPES, **dict.fromkeys([*MATCHED, "pay_platform"], pa.binary())}
+    batches = [pa.RecordBatch.from_pylist([r], pa.schema([(n, types[n]) for n in r])) for r in given]
+    got = pa.Table.from_batches(list(minutes_of(iter(batches)))).to_pylist()
+    assert [tuple(r.values()) for r in got if r["kind"] == "rejected"] == [("rejected", None, None, None, None, "pay", b"x", "body")]
+    assert sorted(tuple(r.values())[:5] for r in got if r["kind"] != "rejected") == [
+        ("matched", "tb", 60, 0, 500_001), ("matched", "tb", 120, 7, 0), ("matched", "tm", 60, 5, 0),
+        ("terminal", "0", 60, 6, 1), ("terminal", "1", 60, 5, 0)]
+    huge = [row("terminal", TERMINAL, [(0, 60 * i, 9 * 10**18, 0, 1)]) for i in range(2)]
+    batches = [pa.RecordBatch.from_pylist([r], pa.schema([(n, types[n]) for n in r])) for r in huge]
+    assert [r["whole"] for b in minutes_of(iter(batches)) for r in b.to_pylist()] == [9 * 10**18] * 2
+
+
+def test_few_columns_go_to_python_and_parsing_stays_in_generated_code(spark):
+    from helpers import plan
+    from tradetide.sources import envelopes
+    from tradetide.streaming.matching import _packed_groups
+
+    wire = spark.createDataFrame([("pay", b'{"order_id": 1}', None)], "topic string, body binary, ts timestamp")
+    ran = plan(_packed_groups(envelopes.classify(wire), 4))
+    given = ran[ran.index("MapInArrow narrow("):]
+    assert given[:given.index(")")].count(",") < 9 and "lambdafunction" not in ran
+
+
+def test_amounts_split_in_python_as_in_the_jvm(spark):
+    from pyspark.sql import functions as F
+    from tradetide.functions.money import money_parts
+    from tradetide.streaming.matching import widened
+
+    draw = random.Random(3)
+    amounts = [0.0, -0.000001, 1e12, 999_999.9999995, 1.005, -7.3, *[draw.uniform(-1e6, 1e6) for _ in range(500)]]
+    n = len(amounts)
+    batch = pa.RecordBatch.from_pydict({
+        "part": pa.array([0] * n, pa.int32()), "code": pa.array([0] * n, pa.int8()), "order_id": pa.array(range(n), pa.int64()),
+        "amount": pa.array(amounts), "minute": pa.array([0] * n, pa.int64()), "pay_platform": pa.array([0] * n, pa.int16())})
+    table = next(widened(iter([batch])))
+    whole, rest = money_parts("a")
+    want = spark.createDataFrame([(i, a) for i, a in enumerate(amounts)], "i int, a double").select("i", whole, rest).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in want] == list(zip(table["whole"].to_pylist(), table["millionths"].to_pylist()))
+    for bad in (1e15, float("nan"), float("-inf")):
+        with pytest.raises(ValueError):
+            next(widened(iter([batch.set_column(3, "amount", pa.array([bad] * n))])))

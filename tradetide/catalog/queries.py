@@ -97,7 +97,7 @@ def _published(spark, sf, path: str, payments=None, orders=None) -> str:
 # Streams here come in several micro-batches at any size, and in larger ones of at most so many bytes.
 FILES, BATCHES, MOST_BYTES = 15, 5, 2**30
 # State partitions are fixed for good by a job's first start; one for so many bytes of messages.
-STATE_PARTITIONS, PARTITION_BYTES = 8, 2**26
+STATE_PARTITIONS, PARTITION_BYTES = 8, 2**25
 # Of the tables' bytes, what a file of messages per topic is made from at most.
 FILE_BYTES = 2**23
 

@@ -40,7 +40,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tradetide import schemas as S
 from tradetide.functions import minute_bucket
-from tradetide.functions.money import money_of, money_parts
+from tradetide.functions.money import LIMIT, money_of
 from tradetide.operators.joins import tagged_union
 from tradetide.session import checked_state_session, state_partitions_of
 
@@ -54,6 +54,10 @@ SUMS = ["whole", "millionths", "payments"]
 REJECT = ["topic", "body", "reason"]
 PLATS = pa.array([S.PLAT_TB, S.PLAT_TM])
 NO_TERMINAL = -32768
+# What a row is, as the number it goes to Python with, and the platform with it.
+KINDS = pa.array(["pay", "order", "order", "rejected", "order"])
+KIND_PLATS = pa.array([None, S.PLAT_TB, S.PLAT_TM, None, None], pa.string())
+PAY, TB_ORDER, TM_ORDER, REJECTED_ROW, STRAY_ORDER = range(5)
 
 # Columns of packed rows and their types as numbers; a platform is its place in PLATS.
 PAYS = {"order_id": "<i8", "minute": "<i8", "pay_platform": "<i2", "whole": "<i8", "millionths": "<i8", "payments": "<i8"}
@@ -76,6 +80,7 @@ OUT = (
     "kind string, order_id bigint, plat string, minute bigint, pay_platform smallint,"
     " whole bigint, millionths bigint, payments bigint, topic string, body binary, reason string"
 )
+MINUTES = "kind string, series string, minute bigint, whole bigint, millionths bigint, topic string, body binary, reason string"
 OUT_TYPES = {
     "kind": pa.string(), "order_id": pa.int64(), "plat": pa.string(), "minute": pa.int64(), "pay_platform": pa.int16(),
     "whole": pa.int64(), "millionths": pa.int64(), "payments": pa.int64(),
@@ -90,6 +95,29 @@ MOST_UNITS = 9e18  # what a group may add up to at once; sums of whole units bey
 # ------------------------------------------------------------------ packing
 
 
+def widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as they leave the JVM, with the columns ``combine`` sums: each column of a row
+    costs its way to Python, so that an amount and a code stand for six of them."""
+    for batch in batches:
+        code, amount, n = batch["code"], batch["amount"], batch.num_rows
+        pay = pc.equal(code, PAY)
+        paid = pc.if_else(pay, amount, None)
+        if pc.all(pc.less(pc.abs(paid), LIMIT)).as_py() is False:
+            raise ValueError("amount out of range")
+        whole = pc.floor(paid)
+        millionths = pc.floor(pc.add(pc.multiply(pc.subtract(paid, whole), float(MILLION)), 0.5))
+        lacking = [pa.nulls(n, OUT_TYPES[name]) if name not in batch.schema.names else batch[name] for name in REJECT]
+        yield pa.RecordBatch.from_arrays([
+            batch["part"], KINDS.take(code), batch["order_id"], KIND_PLATS.take(code), pc.if_else(pay, None, amount),
+            batch["minute"], batch["pay_platform"], whole.cast(pa.int64()), millionths.cast(pa.int64()),
+            pc.if_else(pay, pa.scalar(1, pa.int64()), None), *lacking], names=[*KEYS, *SUMS, *REJECT])
+
+
+def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as they leave the JVM, packed."""
+    return packed(widened(batches))
+
+
 def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum the payments of each Arrow batch; copies of an order collapse, rejects pass."""
     for batch in batches:
@@ -188,6 +216,53 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for name, dtype in OUT_TYPES.items()}).to_batches()
 
 
+def minutes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the operator returns as sums per series and minute of the task; rejects one by one.
+
+    Platforms and terminals are the series, under the names they are kept by."""
+    kinds = {"matched": ("plat", MATCHED), "terminal": ("pay_platform", TERMINAL)}
+    held = {kind: [] for kind in kinds}
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        for kind, (series, types) in kinds.items():
+            rows = table.filter(pc.equal(table["kind"], kind))
+            if len(rows):
+                names = [series, "minute", "whole", "millionths", "payments"]
+                held[kind].append([_unpack(rows[name].to_pylist(), types[name]) for name in names])
+                if sum(len(part[0]) for part in held[kind]) > CHUNK:
+                    summed = _series(held[kind])
+                    # Mostly other minutes: they go on as they are.
+                    if len(summed[0]) > CHUNK // 2:
+                        yield from _minute_rows(kind, summed)
+                    held[kind] = [] if len(summed[0]) > CHUNK // 2 else [summed]
+        rejected = table.filter(pc.equal(table["kind"], "rejected"))
+        if len(rejected):
+            nothing = {"series": pa.string(), "minute": pa.int64(), "whole": pa.int64(), "millionths": pa.int64()}
+            yield from pa.table({
+                "kind": rejected["kind"], **{name: pa.nulls(len(rejected), t) for name, t in nothing.items()},
+                **{name: rejected[name] for name in REJECT}}).to_batches()
+    for kind, parts in held.items():
+        if parts:
+            yield from _minute_rows(kind, _series(parts))
+
+
+def _series(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Sums per series and minute; what all minutes together might not fit a long stays apart."""
+    series, minute, *sums = _joined(*parts)
+    if np.abs(sums[0].astype(float)).sum() > MOST_UNITS:
+        return [series, minute, *sums]
+    return list(_summed([series, minute], sums))
+
+
+def _minute_rows(kind: str, summed: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    series, minute, whole, millionths, _ = map(pa.array, summed)
+    n = len(series)
+    series = PLATS.take(series) if kind == "matched" else series.cast(pa.string())
+    yield from pa.table({
+        "kind": pa.repeat(kind, n), "series": series, "minute": minute, "whole": whole, "millionths": millionths,
+        **{name: pa.nulls(n, OUT_TYPES[name]) for name in REJECT}}).to_batches(UNPACKED)
+
+
 # ----------------------------------------------------------------- matching
 
 
@@ -357,20 +432,30 @@ def part_of(key: Column, groups: int) -> Column:
 
 def _packed_groups(messages: DataFrame, groups: int) -> DataFrame:
     """Messages by group, summed and packed."""
-    whole, millionths = money_parts("pay_amount")
-    pay = F.col("type") == "pay"
-    lacking = [F.lit(None).cast(t).alias(c) for c, t in (("topic", "string"), ("body", "binary"), ("reason", "string"))
-               if c not in messages.columns]
-    rows = messages.select("*", *lacking).filter(
-        (F.col("type") == "rejected") | (F.col("order_id").isNotNull() & (pay | F.col("total_price").isNotNull())))
+    kind = F.col("type")
+    pay, rejects = kind == "pay", [c for c in REJECT if c in messages.columns]
+    rows = messages.filter(
+        (kind == "rejected") | (F.col("order_id").isNotNull() & (pay | F.col("total_price").isNotNull())))
+    order = F.when(F.col("plat") == S.PLAT_TB, TB_ORDER).when(F.col("plat") == S.PLAT_TM, TM_ORDER).otherwise(STRAY_ORDER)
+    key = F.coalesce("order_id", F.xxhash64("body")) if "body" in rejects else F.col("order_id")
     slim = rows.select(
-        part_of(F.coalesce("order_id", F.xxhash64("body")), groups).alias("part"),
-        F.col("type").alias("kind"), "order_id", "plat", "total_price",
+        part_of(key, groups).alias("part"),
+        F.when(pay, PAY).when(kind == "order", order).when(kind == "rejected", REJECTED_ROW).cast("tinyint").alias("code"),
+        "order_id", F.when(pay, F.col("pay_amount")).when(kind == "order", F.col("total_price")).alias("amount"),
         F.when(pay, minute_bucket("create_time")).alias("minute"),
-        F.when(pay, F.col("pay_platform")).cast("smallint").alias("pay_platform"),
-        whole.alias("whole"), millionths.alias("millionths"),
-        F.when(pay, 1).cast("bigint").alias("payments"), *REJECT)
-    return slim.mapInArrow(packed, PACKED)
+        F.when(pay, F.col("pay_platform")).cast("smallint").alias("pay_platform"), *rejects)
+    return slim.mapInArrow(narrow, PACKED)
+
+
+def _operated(
+    messages: DataFrame, groups: int | None = None, keep_settled: bool = True, backlog: GroupedData | None = None
+) -> DataFrame:
+    """Messages through the stateful operator, its rows still packed."""
+    spark = checked_state_session(messages)
+    groups = groups or GROUPS_PER_PARTITION * state_partitions_of(spark)
+    more = {} if backlog is None else {"initialState": backlog}
+    return _packed_groups(messages, groups).groupBy("part").transformWithState(
+        Matcher(keep_settled), PACKED_OUT, "Append", "None", **more)
 
 
 def tagged_stream(
@@ -384,16 +469,19 @@ def tagged_stream(
     paid in full; its later payments then wait for good, so the result depends on the cut.
     ``backlog`` is the state to start from (``backlog_state``); later starts ignore it.
     """
-    spark = checked_state_session(messages)
-    groups = groups or GROUPS_PER_PARTITION * state_partitions_of(spark)
-    more = {} if backlog is None else {"initialState": backlog}
-    out = _packed_groups(messages, groups).groupBy("part").transformWithState(
-        Matcher(keep_settled), PACKED_OUT, "Append", "None", **more).mapInArrow(unpacked, OUT)
+    out = _operated(messages, groups, keep_settled, backlog).mapInArrow(unpacked, OUT)
     amount = money_of(F.col("whole"), F.col("millionths"))
     return out.select(
         "kind", "order_id", "plat", "minute", "pay_platform", amount.alias("pay_amount"), "payments", *REJECT)
 
 
+def minute_stream(messages: DataFrame, **options) -> DataFrame:
+    """``tagged_stream`` for who needs no orders: what a batch adds to each minute of a
+    ``series``, a platform's or a terminal's, in ``whole`` units and ``millionths``, and
+    rejects.  Each task sums its groups before anything returns from Python."""
+    return _operated(messages, **options).mapInArrow(minutes_of, MINUTES)
+
+
 def matched_stream(messages: DataFrame, **options) -> DataFrame:
     """Every payment of a stream whose order arrives, summed per order and minute of a batch."""
     matched = tagged_stream(messages, **options).filter("kind = 'matched'")

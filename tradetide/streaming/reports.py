@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tradetide import schemas as S
+from tradetide.functions.money import money_of
 from tradetide.operators.series import mobile_pc_ratio
 from tradetide.plans.reports import ratio_rows, turnover_rows
 from tradetide.session import checked_state_session
 from tradetide.sinks.results import KeyedTable, result_table
 from tradetide.sources.envelopes import classify
-from tradetide.streaming.matching import held, tagged_stream
+from tradetide.streaming.matching import held, minute_stream
 from tradetide.streaming.minute_trade import stream_minute_trade
 
 # How often each series and the state report are published.
@@ -29,10 +30,10 @@ RATIO_INTERVAL = "30 seconds"
 STATE_INTERVAL_SECONDS = 20
 
 
-def _per_minute(rows: DataFrame, series: str) -> DataFrame:
+def _per_minute(rows: DataFrame) -> DataFrame:
     """What rows add to the minutes of their series."""
-    return rows.groupBy(F.col(series).cast("string").alias("series"), "minute").agg(
-        F.sum("pay_amount").cast("double").alias("value"))
+    return rows.groupBy("series", "minute").agg(
+        money_of(F.sum("whole"), F.sum("millionths")).cast("double").alias("value"))
 
 
 def _ratios(minutes: DataFrame, prefix: str) -> DataFrame:
@@ -66,9 +67,7 @@ class ReportJob:
         """One micro-batch; running it again gives the same tables."""
         batch = batch.persist()
         try:
-            added = batch.filter("kind <> 'rejected'").withColumn(
-                "series", F.when(F.col("kind") == "matched", F.col("plat")).otherwise(F.col("pay_platform").cast("string")))
-            self.minutes.increment(_per_minute(added, "series"), batch_id)
+            self.minutes.increment(_per_minute(batch.filter("kind <> 'rejected'")), batch_id)
             rejected = batch.filter("kind = 'rejected'").select("topic", "body", "reason")
             rejected.write.mode("overwrite").parquet(f"{self.path}/quarantine/batch_id={batch_id}")
         finally:
@@ -101,7 +100,7 @@ class ReportJob:
         """
         self.publish_each = publish_each
         messages = classify(stream) if "body" in stream.columns and "type" not in stream.columns else stream
-        rows = tagged_stream(messages, groups=groups, keep_settled=keep_settled, backlog=backlog)
+        rows = minute_stream(messages, groups=groups, keep_settled=keep_settled, backlog=backlog)
         query = (
             rows.writeStream.foreachBatch(self.process)
             .option("checkpointLocation", self.checkpoint)
