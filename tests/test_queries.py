@@ -59,6 +59,15 @@ def test_streams_grow_in_partitions_and_not_in_batches(spark, con, name, monkeyp
     assert operator.numShufflePartitions == wanted and operator.numRowsTotal > 8 * 64
 
 
+def test_rows_that_compress_well_come_in_as_many_files(spark, tmp_path, monkeypatch):
+    """Tasks of a batch are made of files: their number follows the rows, however few bytes these take."""
+    monkeypatch.setattr(catalog, "FILE_ROWS", 100, raising=False)
+    rows = sum(fixtures.table(spark, SF, name).count() for name in ("events", "orders"))
+    catalog._published(spark, SF, f"{tmp_path}/topics")
+    pays = spark.read.format("binaryFile").load(f"{tmp_path}/topics/topic=pay").count()
+    assert 16 < pays <= -(-rows // 100) + 1 and catalog.FILES < 16
+
+
 def test_batches_leave_no_rest():
     assert catalog._batch_bytes(45 * 10, 10) == 100
     assert catalog._batch_bytes(45 * 10, 200) == 111

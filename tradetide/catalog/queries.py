@@ -88,7 +88,8 @@ def _published(spark, sf, path: str, payments=None, orders=None) -> str:
     orders = fixtures.order_messages(spark, sf) if orders is None else orders
     wire = envelopes.encode(orders, F.col("topic")).unionByName(envelopes.encode(payments, S.TOPIC_PAYMENT))
     tables = _length(spark, f"{sf}/events.parquet", f"{sf}/orders.parquet").total
-    files = max(FILES, _payments(spark, sf).rdd.getNumPartitions(), -(-tables // FILE_BYTES))
+    rows = fixtures.table(spark, sf, "events").count() + fixtures.table(spark, sf, "orders").count()
+    files = max(FILES, _payments(spark, sf).rdd.getNumPartitions(), -(-tables // FILE_BYTES), -(-rows // FILE_ROWS))
     messages_out.publish(wire.repartition(files, F.xxhash64("body")), path)
     messages_out.publish(envelopes.end_markers(spark), path)
     return path
@@ -98,8 +99,9 @@ def _published(spark, sf, path: str, payments=None, orders=None) -> str:
 FILES, BATCHES, MOST_BYTES = 15, 5, 2**30
 # State partitions are fixed for good by a job's first start; one for so many bytes of messages.
 STATE_PARTITIONS, PARTITION_BYTES = 8, 2**25
-# Of the tables' bytes, what a file of messages per topic is made from at most.
-FILE_BYTES = 2**23
+# Of the tables' bytes and rows, what a file of messages per topic is made from at most.  Rows that
+# compress well are as many messages in few bytes.
+FILE_BYTES, FILE_ROWS = 2**23, 2**17
 
 
 def _length(spark, *paths: str) -> Row:
